@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arrivals.catalog import standins as s
 from arrivals.catalog.tables import AIRPORTS_SQL, DEMOGRAPHICS_SQL
 from arrivals.functions import sas_date
-from arrivals.operators import dimension, lookup
+from arrivals.operators import Codes, dimension, lookup
 from arrivals.plans import ArrivalDimensions, StarInputs, conform_arrivals, load_star
 
 
@@ -29,7 +29,7 @@ def sas_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One lookup by a numeric code; the dimension is measured, then broadcast."""
-    visa = dimension(s.derive(spark, sf_dir, s.VISAS), "visa_code", "visa", numeric=True)
+    visa = dimension(Codes(s.derive(spark, sf_dir, s.VISAS), "visa_code", "visa", numeric=True))
     facts = s.derive(spark, sf_dir, s.FACTS).select("admnum", "i94visa")
     return lookup(facts, visa, "i94visa", "visa_type_code", "Other")
 
@@ -37,7 +37,7 @@ def lookup_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lookup in a dimension that grows with the data: no broadcast hint, Spark picks the join."""
     names = s.derive(spark, sf_dir, "SELECT p_partkey, p_name FROM {part} WHERE p_size <> 7")
-    parts = dimension(names, "p_partkey", "p_name", numeric=True, broadcast_bytes=0)
+    parts = dimension(Codes(names, "p_partkey", "p_name", numeric=True), broadcast_bytes=0)
     facts = s.derive(
         spark,
         sf_dir,

@@ -20,5 +20,5 @@ def sas_date(days: Column) -> Column:
     number = days.try_cast("double")
     whole = F.floor(number)
     valid = (number != 0) & ~F.isnan(number) & whole.between(FIRST_DAY, LAST_DAY)
-    day = F.date_add(F.lit(EPOCH).cast("date"), whole.cast("int"))
-    return F.when(valid, F.date_format(day, "yyyy-MM-dd"))
+    day = F.date_add(F.lit(EPOCH).cast("date"), whole.try_cast("int"))
+    return F.when(valid, day.cast("string"))

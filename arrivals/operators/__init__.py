@@ -2,7 +2,7 @@
 
 from arrivals.operators.codes import union_codes
 from arrivals.operators.dedup import dedup, distinct_rows
-from arrivals.operators.lookup import Dimension, DuplicateKey, dimension, lookup
+from arrivals.operators.lookup import Codes, Dimension, DuplicateKey, dimension, dimensions, lookup
 from arrivals.operators.mapping import (
     COUNTRY,
     MODE,
@@ -19,12 +19,14 @@ __all__ = [
     "US_PORT",
     "US_STATE",
     "VISA",
+    "Codes",
     "Dimension",
     "DuplicateKey",
     "MappingSpec",
     "clean_mapping",
     "dedup",
     "dimension",
+    "dimensions",
     "distinct_rows",
     "lookup",
     "union_codes",

@@ -12,11 +12,10 @@ def union_codes(df: DataFrame, columns: list[str], into: str) -> DataFrame:
     Equal to the distinct union of one selection per code column, but the input is scanned
     once. A row without any code disappears. Column `into` stands where the first one stood.
     """
-    code = F.explode(F.array_distinct(F.array(*[F.col(c) for c in columns])))
+    code = F.explode(F.array_compact(F.array_distinct(F.array(*[F.col(c) for c in columns]))))
     kept = [c for c in df.columns if c not in columns[1:]]
     return (
         df.withColumn(into, code)
-        .filter(F.col(into).isNotNull())
         .select([F.col(into) if c == columns[0] else F.col(c) for c in kept])
         .distinct()
     )

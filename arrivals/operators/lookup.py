@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,38 +32,63 @@ class Dimension:
     broadcast: bool
 
 
-def dimension(
-    df: DataFrame,
-    code: str,
-    value: str,
-    numeric: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> Dimension:
-    """Check `df` as a lookup table: measure it, and fail if a code occurs twice.
+@dataclass(frozen=True)
+class Codes:
+    """A table to look codes up in: its code column and its value column.
 
     With `numeric`, codes of either side are compared as doubles, so 2 matches 2.0 and '2.0';
-    text that is no number is like null. Null codes match nothing and are left out.
-
-    Runs one aggregation that returns a single row. Repeated codes collapse before the shuffle.
+    text that is no number is like null. Null codes match nothing.
     """
-    key = F.col(code).try_cast("double") if numeric else F.col(code).cast("string")
-    pairs = df.select(key.alias(_CODE), F.col(value).alias(_VALUE)).filter(F.col(_CODE).isNotNull())
-    width = F.coalesce(F.octet_length(F.col(_VALUE).cast("string")), F.lit(0))
-    width = width + F.octet_length(F.col(_CODE).cast("string")) + ROW_BYTES
-    stats = (
+
+    table: DataFrame
+    code: str
+    value: str
+    numeric: bool = False
+
+    def pairs(self) -> DataFrame:
+        key = F.col(self.code).try_cast("double") if self.numeric else F.col(self.code).cast("string")
+        return self.table.select(key.alias(_CODE), F.col(self.value).alias(_VALUE)).filter(F.col(_CODE).isNotNull())
+
+
+def _measure(name: str, pairs: DataFrame) -> DataFrame:
+    """One row: number of codes, their size, and the most frequent code."""
+    code = F.col(_CODE).cast("string")
+    width = F.octet_length(code) + F.coalesce(F.octet_length(F.col(_VALUE).cast("string")), F.lit(0)) + ROW_BYTES
+    return (
         pairs.groupBy(_CODE)
         .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
         .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.max("n").alias("most"),
-            F.max_by(F.col(_CODE).cast("string"), "n").alias("example"),
+            F.lit(name).alias("name"),
+            F.count(F.lit(1)).alias("codes"),
             F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+            F.max_by(code, "n").alias("most_frequent"),
         )
-        .first()
     )
-    if (stats["most"] or 0) > 1:
-        raise DuplicateKey(f"{code} {stats['example']!r} occurs {stats['most']} times")
-    return Dimension(pairs, numeric, stats["rows"], stats["bytes"], stats["bytes"] <= broadcast_bytes)
+
+
+def dimensions(tables: dict[str, Codes], broadcast_bytes: int = BROADCAST_BYTES) -> dict[str, Dimension]:
+    """Check tables for use in lookups: measure them, and fail if a code occurs twice.
+
+    One action for all of them, which returns one row for each. Repeated codes collapse before
+    the shuffle.
+    """
+    pairs = {name: codes.pairs() for name, codes in tables.items()}
+    measures = reduce(DataFrame.unionByName, [_measure(name, p) for name, p in pairs.items()]).collect()
+    checked = {}
+    for m in measures:
+        name = m["name"]
+        if m["most"] > 1:
+            raise DuplicateKey(f"{tables[name].code} {m['most_frequent']!r} occurs {m['most']} times")
+        checked[name] = Dimension(
+            pairs[name], tables[name].numeric, m["codes"], m["bytes"], m["bytes"] <= broadcast_bytes
+        )
+    return checked
+
+
+def dimension(codes: Codes, broadcast_bytes: int = BROADCAST_BYTES) -> Dimension:
+    """The same for one table."""
+    return dimensions({"": codes}, broadcast_bytes)[""]
 
 
 def lookup(facts: DataFrame, dim: Dimension, key: str, into: str, default: str) -> DataFrame:
@@ -72,7 +98,7 @@ def lookup(facts: DataFrame, dim: Dimension, key: str, into: str, default: str)
     facts are neither moved nor sorted. A larger one is joined by shuffle; adaptive execution
     then splits partitions swollen by one hot key, or by null keys, over several tasks.
     """
-    fact_key = F.col(key).try_cast("double") if dim.numeric else F.col(key)
+    fact_key = F.col(key).try_cast("double") if dim.numeric else F.col(key).cast("string")
     pairs = F.broadcast(dim.pairs) if dim.broadcast else dim.pairs
     return (
         facts.join(pairs, fact_key == F.col(_CODE), "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from arrivals.functions import nth_part
 from arrivals.operators import distinct_rows, union_codes
 from arrivals.quality import count_rows
-from arrivals.schemas import AIRPORTS
+from arrivals.schemas import AIRPORTS, check_schema
 from arrivals.sinks import write_ranged
 
 # The country kept, the code columns, the range keys, and the number of files.
@@ -45,7 +45,8 @@ def store_airports(raw: DataFrame, path: str) -> tuple[int, int]:
 
     There are three files, and more once the rows read no longer fit three of ROWS_PER_FILE.
     """
+    airports = check_schema(clean_airports(raw), AIRPORTS)
     rows_in = count_rows(distinct_rows(raw)).first()["rows"]
     most = rows_in * len(CODE_COLUMNS)
     files = max(FILES, ceil(most / ROWS_PER_FILE))
-    return rows_in, write_ranged(clean_airports(raw), path, RANGE_KEYS, files)
+    return rows_in, write_ranged(airports, path, RANGE_KEYS, files)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.functions import sas_date
-from arrivals.operators import Dimension, dimension, lookup
+from arrivals.operators import Codes, Dimension, dimensions, lookup
 from arrivals.sinks import write_partitioned
 
 # Defaults of the lookups, and each output column with the column it renames.
@@ -60,9 +60,13 @@ class ArrivalDimensions:
     @classmethod
     def of(cls, us_state: DataFrame, visa: DataFrame, mode: DataFrame) -> ArrivalDimensions:
         return cls(
-            us_state=dimension(us_state, "state_code", "state_code"),
-            visa=dimension(visa, "visa_code", "visa", numeric=True),
-            mode=dimension(mode, "mode_code", "mode", numeric=True),
+            **dimensions(
+                {
+                    "us_state": Codes(us_state, "state_code", "state_code"),
+                    "visa": Codes(visa, "visa_code", "visa", numeric=True),
+                    "mode": Codes(mode, "mode_code", "mode", numeric=True),
+                }
+            )
         )
 
 

@@ -12,7 +12,7 @@ from arrivals.plans.arrivals import ArrivalDimensions, conform_arrivals, store_a
 from arrivals.plans.demographics import store_demographics
 from arrivals.plans.mappings import load_mapping
 from arrivals.quality import count_rows, report
-from arrivals.schemas import ARRIVALS, check_schema
+from arrivals.schemas import ARRIVALS, COUNTRIES, US_PORTS, US_STATES, check_schema
 from arrivals.sinks import write_plain
 from arrivals.sources import read_airports, read_demographics, read_facts, read_facts_untyped, read_mapping_lines
 
@@ -49,13 +49,13 @@ def load_star(spark: SparkSession, inputs: StarInputs, output: str) -> DataFrame
     root = output.rstrip("/") + "/"
     states = load_mapping(spark, inputs.us_states, US_STATE)
     counts = []
-    for name, path, table in (
-        (COUNTRIES_NAME, inputs.countries, load_mapping(spark, inputs.countries, COUNTRY)),
-        (STATES_NAME, inputs.us_states, states),
-        (PORTS_NAME, inputs.us_ports, load_mapping(spark, inputs.us_ports, US_PORT)),
+    for name, path, table, schema in (
+        (COUNTRIES_NAME, inputs.countries, load_mapping(spark, inputs.countries, COUNTRY), COUNTRIES),
+        (STATES_NAME, inputs.us_states, states, US_STATES),
+        (PORTS_NAME, inputs.us_ports, load_mapping(spark, inputs.us_ports, US_PORT), US_PORTS),
     ):
         lines = count_rows(read_mapping_lines(spark, path)).first()["rows"]
-        counts.append((name, lines, write_plain(table, root + name)))
+        counts.append((name, lines, write_plain(check_schema(table, schema), root + name)))
 
     counts.append((AIRPORTS_NAME, *store_airports(read_airports(spark, inputs.airports), root + AIRPORTS_NAME)))
     demographics = read_demographics(spark, inputs.demographics)
