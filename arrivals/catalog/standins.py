@@ -150,8 +150,9 @@ PORT_LINES = """
              WHEN 3 THEN ' O''''NEIL,  CA ''' ELSE '''' END AS value
     FROM {customer}
 """
+# Pairs for every part, and lines without a pair besides.
 VISA_LINES = """
-    SELECT CASE WHEN p_partkey % 50 = 49 THEN ';'
-           ELSE '   ' || CAST(p_partkey AS VARCHAR(20)) || ' = ''' || p_name || '''' END AS value
-    FROM {part}
+    SELECT '   ' || CAST(p_partkey AS VARCHAR(20)) || ' = ''' || p_name || '''' AS value FROM {part}
+    UNION ALL
+    SELECT ';' AS value FROM {region}
 """

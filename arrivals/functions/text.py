@@ -7,6 +7,13 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters Unicode counts as white space, and the four ASCII separators.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def remove_chars(text: Column, chars: str) -> Column:
     """Delete every occurrence of each character of `chars`."""
@@ -28,7 +35,7 @@ def nth_part(text: Column, separator: str, index: int, limit: int = -1) -> Colum
 
 def trim_blank_edges(text: Column) -> Column:
     """Strip all white space, tabs included, from both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def trim_leading_spaces(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from helpers import planned
 
 import __spark_entry__ as registry
 
@@ -35,6 +36,9 @@ def test_query(spark, sql, name):
     data = ordered(columns, expected.fetchall())
     assert data
     assert ordered(found.columns, found.collect()) == data
+    plan = planned(found)
+    for slow in ("Python", "CartesianProduct", "NestedLoopJoin", "Window"):
+        assert slow not in plan
 
 
 def test_entry(spark):
