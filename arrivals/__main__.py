@@ -18,10 +18,11 @@ def main() -> None:
             "--" + field.name.replace("_", "-"), required=required, default=None if required else field.default
         )
     parser.add_argument("--output", required=True)
+    parser.add_argument("--replace-arrivals", choices=["all", "partitions"], default="all")
     options = vars(parser.parse_args())
-    output = options.pop("output")
+    output, replace = options.pop("output"), options.pop("replace_arrivals")
     spark = SparkSession.builder.appName("arrivals").getOrCreate()
-    load_star(spark, StarInputs(**options), output).show(truncate=False)
+    load_star(spark, StarInputs(**options), output, replace).show(truncate=False)
 
 
 if __name__ == "__main__":

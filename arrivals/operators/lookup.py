@@ -46,25 +46,16 @@ class Codes:
     numeric: bool = False
 
     def pairs(self) -> DataFrame:
-        key = F.col(self.code).try_cast("double") if self.numeric else F.col(self.code).cast("string")
+        # Adding 0.0 turns -0.0 into 0.0, which it equals in a join.
+        key = F.col(self.code).try_cast("double") + 0.0 if self.numeric else F.col(self.code).cast("string")
         return self.table.select(key.alias(_CODE), F.col(self.value).alias(_VALUE)).filter(F.col(_CODE).isNotNull())
 
 
-def _measure(name: str, pairs: DataFrame) -> DataFrame:
-    """One row: number of codes, their size, and the most frequent code."""
+def _entries(name: str, pairs: DataFrame) -> DataFrame:
+    """Table name, code as text, and size of each pair."""
     code = F.col(_CODE).cast("string")
     width = F.octet_length(code) + F.coalesce(F.octet_length(F.col(_VALUE).cast("string")), F.lit(0)) + ROW_BYTES
-    return (
-        pairs.groupBy(_CODE)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-        .agg(
-            F.lit(name).alias("name"),
-            F.count(F.lit(1)).alias("codes"),
-            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-            F.coalesce(F.max("n"), F.lit(0)).alias("most"),
-            F.max_by(code, "n").alias("most_frequent"),
-        )
-    )
+    return pairs.select(F.lit(name).alias("name"), code.alias("code"), width.alias("bytes"))
 
 
 def dimensions(tables: dict[str, Codes], broadcast_bytes: int = BROADCAST_BYTES) -> dict[str, Dimension]:
@@ -74,15 +65,28 @@ def dimensions(tables: dict[str, Codes], broadcast_bytes: int = BROADCAST_BYTES)
     the shuffle.
     """
     pairs = {name: codes.pairs() for name, codes in tables.items()}
-    measures = reduce(DataFrame.unionByName, [_measure(name, p) for name, p in pairs.items()]).collect()
+    measures = (
+        reduce(DataFrame.unionByName, [_entries(name, p) for name, p in pairs.items()])
+        .groupBy("name", "code")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+        .groupBy("name")
+        .agg(
+            F.count(F.lit(1)).alias("codes"),
+            F.sum("bytes").alias("bytes"),
+            F.max("n").alias("most"),
+            F.max_by("code", "n").alias("most_frequent"),
+        )
+    )
+    by_name = {m["name"]: m for m in measures.collect()}
     checked = {}
-    for m in measures:
-        name = m["name"]
+    for name, codes in tables.items():
+        if name not in by_name:  # no pairs at all
+            checked[name] = Dimension(pairs[name], codes.numeric, 0, 0, True)
+            continue
+        m = by_name[name]
         if m["most"] > 1:
-            raise DuplicateKey(f"{tables[name].code} {m['most_frequent']!r} occurs {m['most']} times")
-        checked[name] = Dimension(
-            pairs[name], tables[name].numeric, m["codes"], m["bytes"], m["bytes"] <= broadcast_bytes
-        )
+            raise DuplicateKey(f"{codes.code} {m['most_frequent']!r} occurs {m['most']} times")
+        checked[name] = Dimension(pairs[name], codes.numeric, m["codes"], m["bytes"], m["bytes"] <= broadcast_bytes)
     return checked
 
 

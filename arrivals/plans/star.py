@@ -40,9 +40,12 @@ class StarInputs:
     facts_format: str = "parquet"
 
 
-def load_star(spark: SparkSession, inputs: StarInputs, output: str) -> DataFrame:
+def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arrivals: str = "all") -> DataFrame:
     """Store every dataset below `output`, replacing earlier ones.
 
+    With `replace_arrivals="partitions"` arrivals of other months stay, so that months can be
+    added to one dataset.
+
     Returns a report with the rows read and stored of each dataset. Visa and mode lists only
     serve the lookups and are not stored.
     """
@@ -72,5 +75,5 @@ def load_star(spark: SparkSession, inputs: StarInputs, output: str) -> DataFrame
         facts = read_facts(spark, inputs.facts, inputs.facts_format)
     arrivals = check_schema(conform_arrivals(facts, dims), ARRIVALS)
     rows_in = count_rows(facts).first()["rows"]
-    counts.append((ARRIVALS_NAME, rows_in, store_arrivals(arrivals, root + ARRIVALS_NAME)))
+    counts.append((ARRIVALS_NAME, rows_in, store_arrivals(arrivals, root + ARRIVALS_NAME, replace_arrivals)))
     return report(spark, counts)

@@ -50,6 +50,8 @@ def test_duplicate_codes_are_rejected(spark):
         dimension(Codes(table(spark, [(1, "a"), (2, "b"), (2, "c")]), "code", "name", numeric=True))
     with pytest.raises(DuplicateKey):
         dimension(Codes(table(spark, [("2", "b"), ("2.0", "c")], "string"), "code", "name", numeric=True))
+    with pytest.raises(DuplicateKey):
+        dimension(Codes(table(spark, [("0", "b"), ("-0.0", "c")], "string"), "code", "name", numeric=True))
     dimension(Codes(table(spark, [("2", "b"), ("2.0", "c")], "string"), "code", "name"))
 
 
@@ -60,9 +62,19 @@ def test_empty_dimension(spark):
 
 
 def test_several_dimensions_are_checked_at_once(spark):
-    one, two = table(spark, [(1, "a")]), table(spark, [(1, "a"), (2, "b")])
-    dims = dimensions({"one": Codes(one, "code", "name"), "two": Codes(two, "code", "code", numeric=True)})
-    assert [dims[n].rows for n in ("one", "two")] == [1, 2]
+    none, one, two = table(spark, []), table(spark, [(1, "a")]), table(spark, [(1, "a"), (2, "b")])
+    dims = dimensions(
+        {
+            "one": Codes(one, "code", "name"),
+            "none": Codes(none, "code", "name"),
+            "two": Codes(two, "code", "code", numeric=True),
+        },
+        broadcast_bytes=100,
+    )
+    assert {n: (d.rows, d.broadcast) for n, d in dims.items()} == {"one": (1, True), "none": (0, True), "two": (2, False)}
+    with pytest.raises(DuplicateKey, match="code 'x'"):
+        repeated = table(spark, [("x", "a"), ("x", "b")], "string")
+        dimensions({"one": Codes(one, "code", "name"), "repeated": Codes(repeated, "code", "name")})
 
 
 def test_small_dimension_is_broadcast(spark, conf):

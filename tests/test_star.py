@@ -1,7 +1,11 @@
+import sys
+from dataclasses import asdict, replace
+
 import pytest
 from helpers import parquet_files, plan_of, planned, rows
 from pyspark.sql import functions as F
 
+from arrivals.__main__ import main
 from arrivals.operators import DuplicateKey
 from arrivals.plans import ArrivalDimensions, StarInputs, conform_arrivals, load_star, store_arrivals
 from arrivals.plans.arrivals import MODE_LAYOUT, STATE_LAYOUT
@@ -213,3 +217,28 @@ def test_whole_load(spark, tmp_path):
     for layout in ("us_state", "arrival_mode"):
         stored = read_stored(spark, f"{target}/immigration_data_{layout}", ARRIVALS)
         assert rows(stored) == rows(spark.createDataFrame([CONFORMED, other], ARRIVALS))
+
+
+def test_months_can_be_added(spark, tmp_path):
+    april = inputs(spark, tmp_path / "in")
+    may = replace(april, facts=str(tmp_path / "may"))
+    facts(spark, {"i94mon": 5.0}).write.parquet(may.facts)
+    target = str(tmp_path / "out")
+    for source in (april, may, may):
+        load_star(spark, source, target, replace_arrivals="partitions")
+    for layout in ("us_state", "arrival_mode"):
+        stored = read_stored(spark, f"{target}/immigration_data_{layout}", ARRIVALS)
+        assert rows(stored.groupBy("month").count()) == [(4.0, 2), (5.0, 1)]
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    source = inputs(spark, tmp_path / "in")
+    facts_csv = str(tmp_path / "facts.csv")
+    read_facts(spark, source.facts).withColumn("count", F.lit(1)).write.csv(facts_csv, header=True)
+    options = asdict(replace(source, facts=facts_csv, facts_format="csv")) | {"output": str(tmp_path / "out")}
+    arguments = [word for name, value in options.items() for word in ("--" + name.replace("_", "-"), value)]
+    monkeypatch.setattr(sys, "argv", ["arrivals", *arguments])
+    main()
+    assert "|immigration_data      |2      |2       |" in capsys.readouterr().out
+    stored = read_stored(spark, str(tmp_path / "out" / "immigration_data_us_state"), ARRIVALS)
+    assert CONFORMED in rows(stored)
