@@ -41,12 +41,14 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str], replace: str =
 
 
 def write_ranged(df: DataFrame, path: str, keys: list[str], files: int = 3) -> int:
-    """Replace the dataset at `path` by up to `files` files holding disjoint ranges of `keys`.
+    """Replace the dataset at `path` by up to `files` files holding ranges of `keys`.
 
-    A hash of the whole row is the last range key, so that rows sharing one hot key are divided
-    over several files too; only neighbouring files then share that key.
+    A hash of the row and its partition number are the last range keys, so that a hot key, or a
+    group of equal rows, is divided over several files; only neighbouring files share a key. A
+    task that runs again sends its rows the same way.
     """
-    spread = df.repartitionByRange(files, *[F.col(k) for k in keys], F.xxhash64(*df.columns))
+    last = (F.xxhash64(*df.columns), F.spark_partition_id())
+    spread = df.repartitionByRange(files, *[F.col(k) for k in keys], *last)
     counted, seen = _counted(spread)
     _writer(counted, "all").parquet(path)
     return seen.get["rows"]

@@ -104,6 +104,16 @@ def test_a_hot_range_key_is_divided(spark, tmp_path):
     assert rows(read_stored(spark, str(path), SCHEMA)) == rows(df)
 
 
+def test_equal_rows_are_divided_over_ranges(spark, tmp_path):
+    path = tmp_path / "out"
+    df = spark.range(0, 9000, 1, 40).select(F.lit(1).cast("bigint").alias("id"), F.lit(2016.0).alias("year"), F.lit("A").alias("port"))
+    assert write_ranged(df, str(path), ["port"], files=6) == 9000
+    sizes = [spark.read.parquet(str(f)).count() for f in parquet_files(path)]
+    assert len(sizes) == 6
+    assert max(sizes) < 9000 / 3
+    assert spark.read.parquet(str(path)).columns == ["id", "year", "port"]
+
+
 def test_empty_results(spark, tmp_path):
     empty = arrivals(spark).filter("id > 0")
     assert write_plain(empty, str(tmp_path / "plain")) == 0
