@@ -144,7 +144,8 @@ STATE_LINES = """
     FROM {supplier}
 """
 PORT_LINES = """
-    SELECT '   ''' || CAST(c_custkey AS VARCHAR(20)) || CASE c_custkey % 7 WHEN 0 THEN '''\t' WHEN 1 THEN ''' ' ELSE '''' END
+    SELECT '   ''' || CAST(c_custkey AS VARCHAR(20)) ||
+        CASE c_custkey % 7 WHEN 0 THEN '''\t' WHEN 1 THEN ''' ' ELSE '''' END
         || '\t=\t' || '''' || c_mktsegment ||
         CASE c_custkey % 5 WHEN 0 THEN ', ST''' WHEN 1 THEN ', PIER 9, NY   ''' WHEN 2 THEN ',TX   '''
              WHEN 3 THEN ' O''''NEIL,  CA ''' ELSE '''' END AS value

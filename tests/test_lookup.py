@@ -11,7 +11,8 @@ def table(spark, pairs, kind="bigint"):
 
 def test_default_for_null_and_unknown_keys(spark):
     dim = dimension(Codes(table(spark, [(1, "one"), (2, "two")]), "code", "name", numeric=True))
-    facts = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None), (4, 9.0), (5, 2.5), (6, float("nan"))], "i int, k double")
+    keys = [1.0, 2.0, None, 9.0, 2.5, float("nan")]
+    facts = spark.createDataFrame(list(enumerate(keys, 1)), "i int, k double")
     found = rows(lookup(facts, dim, "k", "found", "none").select("i", "found"))
     assert found == [(1, "one"), (2, "two"), (3, "none"), (4, "none"), (5, "none"), (6, "none")]
 
@@ -40,7 +41,8 @@ def test_text_codes_compare_as_text(spark):
 
 
 def test_null_value_takes_the_default_and_null_code_is_ignored(spark):
-    dim = dimension(Codes(table(spark, [(1, None), (None, "null"), (None, "null again")]), "code", "name", numeric=True))
+    names = table(spark, [(1, None), (None, "null"), (None, "null again")])
+    dim = dimension(Codes(names, "code", "name", numeric=True))
     facts = spark.createDataFrame([(1.0,), (None,)], "k double")
     assert rows(lookup(facts, dim, "k", "found", "none")) == [(None, "none"), (1.0, "none")]
 
@@ -71,7 +73,8 @@ def test_several_dimensions_are_checked_at_once(spark):
         },
         broadcast_bytes=100,
     )
-    assert {n: (d.rows, d.broadcast) for n, d in dims.items()} == {"one": (1, True), "none": (0, True), "two": (2, False)}
+    found = {n: (d.rows, d.broadcast) for n, d in dims.items()}
+    assert found == {"one": (1, True), "none": (0, True), "two": (2, False)}
     with pytest.raises(DuplicateKey, match="code 'x'"):
         repeated = table(spark, [("x", "a"), ("x", "b")], "string")
         dimensions({"one": Codes(one, "code", "name"), "repeated": Codes(repeated, "code", "name")})
@@ -99,7 +102,8 @@ def test_dimension_beyond_the_bound_is_shuffled_and_hot_keys_are_split(spark, co
     assert not dim.broadcast
     n = 40000
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 2000)
-    facts = spark.range(0, n, 1, 16).select("id", key.cast("double").alias("k"), F.sha2(F.col("id").cast("string"), 256))
+    text = F.sha2(F.col("id").cast("string"), 256)
+    facts = spark.range(0, n, 1, 16).select("id", key.cast("double").alias("k"), text.alias("text"))
     joined = lookup(facts, dim, "k", "found", "none")
     plan = plan_of(joined)
     assert "SortMergeJoin(skew=true)" in plan

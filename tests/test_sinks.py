@@ -7,7 +7,9 @@ from arrivals.schemas import SchemaMismatch, check_schema
 from arrivals.sinks import write_partitioned, write_plain, write_ranged
 from arrivals.sources import read_stored
 
-SCHEMA = StructType([StructField("id", LongType()), StructField("year", DoubleType()), StructField("port", StringType())])
+SCHEMA = StructType(
+    [StructField("id", LongType()), StructField("year", DoubleType()), StructField("port", StringType())]
+)
 
 
 def arrivals(spark, *data):
@@ -29,7 +31,9 @@ def test_plain(spark, tmp_path):
 
 def test_partition_values_survive(spark, tmp_path):
     path = tmp_path / "out"
-    df = arrivals(spark, (1, 2016.0, "060"), (2, 2016.0, "61"), (3, None, "60"), (4, 2015.0, None), (5, 2015.5, "A/B = C"))
+    df = arrivals(
+        spark, (1, 2016.0, "060"), (2, 2016.0, "61"), (3, None, "60"), (4, 2015.0, None), (5, 2015.5, "A/B = C")
+    )
     assert write_partitioned(df, str(path), ["year", "port"]) == 5
     assert "year=2016.0/port=060" in directories(path)
     assert "year=2015.0/port=__HIVE_DEFAULT_PARTITION__" in directories(path)
@@ -39,7 +43,8 @@ def test_partition_values_survive(spark, tmp_path):
 
 
 def test_small_partitions_get_one_file(spark, tmp_path):
-    df = spark.range(0, 4000, 1, 16).select("id", F.lit(2016.0).alias("year"), (F.col("id") % 20).cast("string").alias("port"))
+    port = (F.col("id") % 20).cast("string")
+    df = spark.range(0, 4000, 1, 16).select("id", F.lit(2016.0).alias("year"), port.alias("port"))
     assert write_partitioned(df, str(tmp_path / "out"), ["year", "port"]) == 4000
     assert len(parquet_files(tmp_path / "out")) == 20
 
@@ -84,7 +89,8 @@ def test_session_default_does_not_change_a_full_overwrite(spark, tmp_path, conf)
 
 def test_ranges(spark, tmp_path):
     path = tmp_path / "out"
-    df = spark.range(0, 3000, 1, 8).select("id", F.lit(2016.0).alias("year"), (F.col("id") % 100).cast("string").alias("port"))
+    port = (F.col("id") % 100).cast("string")
+    df = spark.range(0, 3000, 1, 8).select("id", F.lit(2016.0).alias("year"), port.alias("port"))
     assert write_ranged(df, str(path), ["port", "year"]) == 3000
     files = parquet_files(path)
     assert len(files) == 3
@@ -106,7 +112,8 @@ def test_a_hot_range_key_is_divided(spark, tmp_path):
 
 def test_equal_rows_are_divided_over_ranges(spark, tmp_path):
     path = tmp_path / "out"
-    df = spark.range(0, 9000, 1, 40).select(F.lit(1).cast("bigint").alias("id"), F.lit(2016.0).alias("year"), F.lit("A").alias("port"))
+    same = {"id": F.lit(1).cast("bigint"), "year": F.lit(2016.0), "port": F.lit("A")}
+    df = spark.range(0, 9000, 1, 40).select([value.alias(name) for name, value in same.items()])
     assert write_ranged(df, str(path), ["port"], files=6) == 9000
     sizes = [spark.read.parquet(str(f)).count() for f in parquet_files(path)]
     assert len(sizes) == 6
@@ -133,6 +140,12 @@ def test_reading_a_layout_prunes_directories(spark, tmp_path):
 def test_schema_check(spark):
     df = arrivals(spark, (1, 2016.0, "A"))
     assert check_schema(df, SCHEMA) is df
-    for other in (df.drop("port"), df.select("year", "id", "port"), df.withColumn("id", F.lit("1")), df.withColumn("x", F.lit(1))):
+    others = (
+        df.drop("port"),
+        df.select("year", "id", "port"),
+        df.withColumn("id", F.lit("1")),
+        df.withColumn("x", F.lit(1)),
+    )
+    for other in others:
         with pytest.raises(SchemaMismatch):
             check_schema(other, SCHEMA)

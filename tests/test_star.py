@@ -133,7 +133,12 @@ def test_both_layouts_hold_every_row(spark, dims, tmp_path):
     raw = facts(
         spark,
         *[
-            {"admnum": float(i), "i94port": [None, "060", "BBB"][i % 3], "i94addr": ["QQ", "XX"][i % 2], "i94mon": i % 2 + 1.0}
+            {
+                "admnum": float(i),
+                "i94port": [None, "060", "BBB"][i % 3],
+                "i94addr": ["QQ", "XX"][i % 2],
+                "i94mon": i % 2 + 1.0,
+            }
             for i in range(30)
         ],
     )
