@@ -12,6 +12,8 @@ duckdb = pytest.importorskip("duckdb")
 TABLES = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="verification tables are absent")
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
 
 @pytest.fixture(scope="module")
 def sql():
@@ -32,7 +34,8 @@ def test_query(spark, sql, name):
     found = registry.queries()[name](spark, str(TABLES))
     expected = sql.execute(registry.oracle_sql()[name])
     columns = [c[0] for c in expected.description]
-    assert sorted(found.columns) == sorted(columns)
+    types = {f.name: SQL_TYPES[f.dataType.simpleString()] for f in found.schema}
+    assert types == {c[0]: str(c[1]) for c in expected.description}
     data = ordered(columns, expected.fetchall())
     assert data
     assert ordered(found.columns, found.collect()) == data
