@@ -11,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 
-PIECE = 1 << 22
+PIECE = 1 << 19
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BYTES = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, np.uint64)
