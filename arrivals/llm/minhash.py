@@ -6,11 +6,14 @@ coordinate, whose value is the least number of the set under it. Bands of coordi
 documents that meet in a bucket are candidates, and a link needs the exact Jaccard similarity of the
 full sets.
 
-Groups of copies of any size stay linear: texts with equal sets are one class from the start; in a
-bucket every class is first compared with the least one only; and only classes which that
-leaves in different components are compared among themselves, so that no link between
-components is missed. All of it is keyed by hashes, hot buckets and classes are joined by broadcast
-(`join_split`), and texts move only for classes that share a bucket with another.
+Groups of copies of any size stay linear: texts with equal sets are one class from the start. In a
+small bucket all classes are compared. In large ones the shingles are counted: classes that share a rare
+one are compared, and of others it is known that they share no more than their frequent ones. Each is
+compared with the most central class of its bucket, the one with the least share of rare shingles; then
+those that this leaves in different components are compared among themselves, unless the number of
+frequent shingles rules a link out. No link between components is missed. All of it is keyed by hashes,
+hot buckets and classes are joined by broadcast (`join_split`), and texts move only for classes that share a
+bucket with another.
 
 A pair at the threshold misses all BANDS bands with probability (1 - 0.8**ROWS)**BANDS, about 5e-8.
 
@@ -36,6 +39,8 @@ from arrivals.llm.hashing import mix, sequences, words_hashed
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 32, 4
+# Classes that meet in a bucket, or in a shingle, are all compared up to this number.
+SMALL = 16
 BATCH = 512
 _M1, _M2 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
@@ -125,6 +130,44 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return store(pairs.join(left, "a").join(right, "b").mapInPandas(check, "a binary, b binary"))
 
 
+def _rare_shingles(texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Of shingles that at most SMALL sets of `texts` have: how many a set has (set, own), and pairs (a, b) that share one.
+
+    Shingles with the same sets count once for the pairs.
+    """
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), BATCH):
+                some = batch.iloc[at : at + BATCH]
+                found = shingle_sets(list(some["text"]), k)
+                yield pd.DataFrame(
+                    {"set": some["set"].repeat([len(s) for s in found]), "shingle": np.concatenate(found).view(np.int64)}
+                )
+
+    having = store(texts.select("set", "text").mapInPandas(shingles, "set binary, shingle bigint"))
+    times = having.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") <= SMALL)
+    rare = store(having.join(times, "shingle"))
+    own = rare.groupBy("set").agg(F.count(F.lit(1)).alias("own"))
+    together = rare.filter("times > 1").groupBy("shingle").agg(F.sort_array(F.collect_set("set")).alias("sets")).select("sets").distinct()
+    pairs = together.select(F.posexplode("sets").alias("i", "a"), "sets").select("a", F.explode(F.expr("slice(sets, i + 2, size(sets))")).alias("b"))
+    return own, pairs.distinct()
+
+
+def _may_link(n: Column, own: Column, other_n: Column, other_own: Column, percent: int) -> Column:
+    """Whether two sets that share none of their `own` shingles could be linked: what they share is at most the rest of either."""
+    most = F.least(n - own, other_n - other_own)
+    return 100 * most >= percent * (n + other_n - most)
+
+
+def _pairs(left: DataFrame, right: DataFrame, key: str, percent: int, also: Column | None = None) -> DataFrame:
+    """Pairs of classes of (key, set, n, own) that meet under a key and could be linked."""
+    x, y = left.alias("x"), right.alias("y")
+    on = (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.set") < F.col("y.set"))
+    on = on & _may_link(F.col("x.n"), F.col("x.own"), F.col("y.n"), F.col("y.own"), percent)
+    return x.join(y, on if also is None else on & also).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row."""
     rows = store(_sketches(docs, k))
@@ -148,22 +191,29 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     # Repeated rows have one key; one of their texts is enough, and they are the same.
     texts = store(texts.groupBy("set").agg(F.first("text").alias("text")))
 
-    first = store(members.filter("set <> least").select(F.col("least").alias("a"), F.col("set").alias("b")).distinct())
+    # Small buckets: every pair. Large ones: each class with the most central one of its bucket.
+    small = members.filter(F.col("met") <= SMALL).select("bucket", "set", "n", F.lit(0).cast("bigint").alias("own"))
+    large = members.filter(F.col("met") > SMALL).select("bucket", "set", "n")
+    own, sharing = _rare_shingles(texts.join(large.select("set").distinct(), "set", "left_semi"), k)
+    large = store(large.join(own, "set", "left").select("bucket", "set", "n", F.coalesce("own", F.lit(0)).alias("own")))
+    centres = large.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "set", "n", "own")).alias("c"))
+    to_centre = join_split(large, centres.join(shared, "bucket"), ["bucket"], "met", total).filter("set <> c.set")
+    possible = _may_link(F.col("n"), F.col("own"), F.col("c.n"), F.col("c.own"), percent)
+    first = store(
+        to_centre.filter(possible)
+        .select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b"))
+        .unionByName(sharing)
+        .unionByName(_pairs(small, small, "bucket", percent))
+        .distinct()
+    )
     links = _confirmed(first, texts, k, percent)
     labels = components(links)
-    labelled = members.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
-        "bucket", "set", "n", F.coalesce("comp", "set").alias("comp")
+    labelled = large.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
+        "bucket", "set", "n", "own", F.coalesce("comp", "set").alias("comp")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
     apart = store(labelled.join(mixed, "bucket", "left_semi"))
-    x, y = apart.alias("x"), apart.alias("y")
-    long_enough = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    second = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.set") < F.col("y.set")) & long_enough)
-        .select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
+    second = store(_pairs(apart, apart, "bucket", percent, F.col("x.comp") != F.col("y.comp")).distinct().join(first, ["a", "b"], "left_anti"))
     links = links.unionByName(_confirmed(second, texts, k, percent))
     # Rows with one id are one document: the classes of its texts are linked through it.
     several = rows.filter("set IS NOT NULL AND NOT key.no_id").groupBy("key.doc_id").agg(F.min("set").alias("a"), F.max("set").alias("z")).filter("a <> z")
