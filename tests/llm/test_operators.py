@@ -1,0 +1,263 @@
+"""Operators on rows that are null, empty, long, repeated or absent, and against brute force."""
+
+import datetime
+import hashlib
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from arrivals.llm import decontaminate, exactdedup, language, linededup, minhash, mixing, pii, quality, substring, tokens
+
+from .conftest import EXTRA, ODD, WORDS, passage
+
+BENCH = [("7", "b1"), ("9", None)]
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id bigint, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def bench(spark):
+    items = [(1, passage(1, 40)), (2, "same text"), (3, ""), (4, None), (None, passage(2, 12)), (5, passage(1, 40) + " more")]
+    return spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def runs(labels, bench):
+    return {
+        "quality": lambda d: quality.classify(d, labels),
+        "mixing": mixing.mix_sizes,
+        "mix": mixing.mix,
+        "minhash": minhash.near_duplicates,
+        "keep_one": minhash.keep_one,
+        "report": lambda d: decontaminate.report(d, bench),
+        "decontaminate": lambda d: decontaminate.decontaminate(d, bench),
+        "language": lambda d: language.predict(d, language.train(d)),
+        "keep_known": language.keep_known,
+        "lines": linededup.dedup_lines,
+        "exact": exactdedup.dedup,
+        "substring": substring.passages,
+        "pii": lambda d: pii.pseudonymise(d, b"key"),
+        "tokens": tokens.tokenize,
+    }
+
+
+STAGES = {"mix", "keep_one", "decontaminate", "keep_known"}
+ONE_ROW_EACH = {"quality", "mixing", "minhash", "report", "language", "lines", "exact", "pii", "tokens"}
+
+
+@pytest.mark.parametrize("name", runs(None, None))
+def test_odd_and_empty_tables(name, odd, labels, bench):
+    run = runs(labels, bench)[name]
+    found = run(odd).collect()
+    if name in ONE_ROW_EACH:
+        assert len(found) == len(ODD)
+    if name in STAGES:
+        assert run(odd).columns == odd.columns
+        assert all([r[c] for c in EXTRA] == EXTRA for r in found)
+    assert run(odd.limit(0)).collect() == []
+
+
+def test_exact_keeps_longest_then_first(make):
+    rows = [(1, "a b", "", ""), (2, "a  b", "", ""), (3, "a  b", "", ""), (4, None, "", ""), (5, " ", "", "")]
+    got = {r["doc_id"]: r for r in exactdedup.dedup(make(rows)).collect()}
+    assert [got[i]["keep_id"] for i in range(1, 6)] == [2, 2, 2, 5, 5]
+    assert [got[i]["group_size"] for i in range(1, 6)] == [3, 3, 3, 2, 2]
+    assert got[1]["text_sha256"] == hashlib.sha256(b"ab").hexdigest()
+
+
+def test_exact_index_persists(spark, make, tmp_path):
+    path = f"file://{tmp_path}/old/index"
+    exactdedup.dedup(make([(5, "one", "", ""), (6, "two", "", "")]), path, 4).collect()
+    again = {r["doc_id"]: r["keep_id"] for r in exactdedup.dedup(make([(1, "o n e", "", ""), (2, "three", "", ""), (6, "two", "", "")]), path, 4).collect()}
+    assert again == {1: 5, 2: 2, 6: 6}
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_lines_later_windows_go(make):
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(make(ODD)).collect()}
+    assert got[7] == ODD[8][1]
+    assert got[8] == "x\ny"
+    assert got[1] is None
+
+
+def test_mix_repeats_and_is_near_its_targets(make):
+    rng = random.Random(1)
+    rows = [(i, passage(i, rng.randint(1, 30)), "en", rng.choice("aaaabcd")) for i in range(400)]
+    docs = make(rows)
+    by = mixing.mix_sizes(docs).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    for _, own in by.groupby("source"):
+        assert abs(own["taken"].sum() - own["target"].iloc[0]) <= 30
+    assert len(by) == 400 and (by["taken"] <= 2 * by["size"]).all() and set(by["taken"] / by["size"]) <= {0.0, 1.0, 2.0}
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == int((by["taken"] / by["size"]).sum())
+    assert abs(by["taken"].sum() - 1.5 * by["size"].sum()) <= 30
+
+
+def brute_components(rows, k, percent):
+    sets = {}
+    for i, text in rows:
+        w = (text or "").lower().split()
+        n = min(k, len(w))
+        sets[i] = {tuple(w[a : a + n]) for a in range(len(w) - n + 1)} if w else set()
+    of = {i: i for i in sets}
+
+    def root(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+            x, y = sorted((root(a), root(b)))
+            of[y] = x
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def test_minhash_equals_brute_force_on_a_large_group(make):
+    rng = random.Random(3)
+    base = passage(5, 60).split()
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(60)] = rng.choice(WORDS)
+        rows.append((i, " ".join(words), "", ""))
+    rows += [(200 + i, passage(i + 10, rng.randint(1, 9)), "", "") for i in range(40)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(make(rows), 4).collect()}
+    assert got == brute_components([(r[0], r[1]) for r in rows], 4, 80)
+
+
+def brute_hits(words, items, size=10):
+    hit, found = set(), set()
+    for item, w in items:
+        n = min(size, len(w))
+        windows = {tuple(w[a : a + n]) for a in range(len(w) - n + 1)} if w else set()
+        for p in range(len(words) - n + 1):
+            if n and tuple(words[p : p + n]) in windows:
+                hit.update(range(p, p + n))
+                found.add(item)
+    return hit, found
+
+
+def test_automaton_equals_brute_force(monkeypatch, make, spark):
+    rng = random.Random(5)
+    items = [(i, [rng.choice("abc") for _ in range(rng.randint(1, 25))]) for i in range(30)]
+    automaton = decontaminate.Automaton([(str(i), [x.encode() for x in w]) for i, w in items])
+    texts = [[rng.choice("abcd") for _ in range(rng.randint(0, 80))] + items[rng.randrange(30)][1] for _ in range(60)]
+    for words in texts:
+        spans, found = automaton.find([w.encode() for w in words])
+        hit, expected = brute_hits(words, items)
+        assert {p for a, b in spans for p in range(a, b)} == hit
+        assert found == {str(i) for i in expected}
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    docs = make([(i, " ".join(w), "", "") for i, w in enumerate(texts)])
+    whole = sorted(decontaminate.report(docs, table).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 60)
+    assert sorted(decontaminate.report(docs, table).collect()) == whole
+
+
+def test_spans_are_cut(make, spark):
+    table = spark.createDataFrame([(1, passage(1, 12))], "item_id bigint, text string")
+    docs = make([(1, f"Before, {passage(1, 12).upper()}! after", "", "")])
+    assert decontaminate.decontaminate(docs, table).count() == 0
+    assert decontaminate.decontaminate(docs, table, coverage=1.0).first()["text"] == "Before, ! after"
+
+
+def test_grammar_round_trip_and_random_access():
+    rng = np.random.default_rng(1)
+    docs = [np.append(rng.integers(0, 6, n), 1).astype(np.int32) for n in rng.integers(0, 300, 80)]
+    shard = pd.Series(tokens._shard(0, 0, list(range(80)), docs, 50_000))
+    ids = np.concatenate(docs)
+    assert len(shard["rule_left"]) > 0 and len(shard["symbols"]) / shard["width"] < len(ids)
+    assert (tokens.expand(shard, 0, len(ids)) == ids).all()
+    for a, b in ((0, 1), (17, 400), (400, 400), (len(ids) - 3, len(ids))):
+        assert (tokens.expand(shard, a, b) == ids[a:b]).all()
+    assert sum(shard["doc_symbols"]) * shard["width"] == len(shard["symbols"])
+
+
+def test_tokens_equal_the_library(make):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.tokenizer_file())
+    odd = ["don't STOP", "a<|endoftext|>b", "été ́x", "ΣΑΣ İ", "12,5!! x\x1cy z", passage(3, 3000), None, "", "\x01 a"]
+    got = {r["doc_id"]: r for r in tokens.tokenize(make([(i, t, "", "") for i, t in enumerate(odd)])).collect()}
+    start = 0
+    for i, text in enumerate(odd):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        assert (got[i]["start"], got[i]["n_tokens"]) == (start, len(ids))
+        assert got[i]["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
+def test_fuzzy_passages(make):
+    shared = passage(1, 80).split()
+    fuzzy = list(shared)
+    fuzzy[20], fuzzy[50] = "changed", "again"
+    rows = [
+        (1, " ".join([*[f"a{i}" for i in range(30)], *shared, "end"]), "", ""),
+        (2, " ".join([*[f"b{i}" for i in range(90)], *fuzzy]), "", ""),
+        (3, " ".join([f"c{i}" for i in range(300)]), "", ""),
+        (4, " ".join(shared[:40]), "", ""),
+    ]
+    (found,) = substring.passages(make(rows)).collect()
+    assert found[:6] == (2, 90, 170, 1, 30, 110)
+    assert found["alike"] == pytest.approx(78 / 80)
+
+
+def test_pseudonyms():
+    one, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", reveal=True)
+    texts = ["4111 1111 1111 1111", "+1 (437) 555-0689", "über.77@mail1.example.com", "226.203.165.104", "2024-02-29", "31/12/1999", "078-05-1120", "DE89 3704 0044 0532 0130 00", "9913866557355100", "TOKEN B44E15E09FD311C3CF3163B66D5A9875"]
+    for text in texts:
+        new, kinds = one.rewrite(f"x {text} y")
+        assert len(kinds) == 1 and text not in new
+        assert back.rewrite(new)[0] == f"x {text} y"
+    assert pii.luhn("".join(c for c in one.rewrite(texts[0])[0] if c.isdigit()))
+    assert one.rewrite("4111111111111111")[0] == one.rewrite(texts[0])[0].replace(" ", "")
+    datetime.date.fromisoformat(one.rewrite("2024-02-29")[0])
+    assert one.rewrite("2024-02-31, 1.2.3.400 and 2.0.")[1] == []
+    assert sorted(pii.feistel(v, 100, b"k", "t") for v in range(100)) == list(range(100))
+
+
+@pytest.fixture(scope="module")
+def tables():
+    path = "/root/testdata/sf0.01"
+    if not __import__("pathlib").Path(path).exists():
+        pytest.skip("verification tables are absent")
+    return path
+
+
+def test_language_held_out(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "lang")
+    found = language.op5_language(spark, tables).join(docs, "doc_id").filter("held_out").toPandas()
+    assert (found["lang_pred"] == found["lang"]).mean() > 0.97
+    assert not found["rejected"].any()
+
+
+def test_quality_held_out(spark, tables):
+    marks = spark.read.parquet(f"{tables}/labels.parquet").select("doc_id", "quality")
+    found = quality.op1_quality(spark, tables).join(marks, "doc_id").filter("held_out").toPandas()
+    assert (found["predicted"] == found["quality"]).mean() > 0.95
+
+
+def test_pipeline_stages(spark, tables):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    ids = set()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, tables)
+        assert after.columns == docs.columns
+        docs = corpus_pipeline.store(after)
+        ids = {r[0] for r in docs.select("doc_id").collect()}
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, tables).toPandas()
+    assert len(rows) == docs.count() and set(rows["doc_id"]) == ids
+    rows = rows.sort_values("start")
+    assert rows["start"].tolist() == [0, *rows["n_tokens"].cumsum().tolist()[:-1]]
