@@ -213,7 +213,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     )
     mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
     apart = store(labelled.join(mixed, "bucket", "left_semi"))
-    second = store(_pairs(apart, apart, "bucket", percent, F.col("x.comp") != F.col("y.comp")).distinct().join(first, ["a", "b"], "left_anti"))
+    apart = apart.join(apart.groupBy("set").agg(F.collect_set("bucket").alias("all")), "set")
+    # Two classes may meet in several buckets; they count in the least of these.
+    once = F.col("x.bucket") == F.array_min(F.array_intersect("x.all", "y.all"))
+    second = store(_pairs(apart, apart, "bucket", percent, (F.col("x.comp") != F.col("y.comp")) & once).join(first, ["a", "b"], "left_anti"))
     links = links.unionByName(_confirmed(second, texts, k, percent))
     # Rows with one id are one document: the classes of its texts are linked through it.
     several = rows.filter("set IS NOT NULL AND NOT key.no_id").groupBy("key.doc_id").agg(F.min("set").alias("a"), F.max("set").alias("z")).filter("a <> z")

@@ -7,8 +7,9 @@ document. A shard is one row of a Parquet folder: its rules, the number of ids t
 expands to, the symbols, and for each document how many symbols and ids it has. With the
 expansion lengths any range of ids is found and decoded without its neighbours.
 
-Words repeat, and the tokenizer never joins ids across blanks: a task encodes each distinct word
-once with the library and composes texts from these. Its memory is bounded by a batch of
+Words repeat, and the tokenizer never joins ids across blanks, nor across the runs of letters and of
+marks in a plain word: a task encodes each distinct run once with the library and composes words, and texts,
+from these. Its memory is bounded by a batch of
 texts, a shard, and LEXICON words.
 
 Defined cases: null and empty texts are just the end id; a null doc_id comes last; rows with equal
@@ -18,9 +19,10 @@ ids are ordered by a hash of their text. An empty table gives no shards and an e
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,13 @@ from arrivals.llm.common import shared_folder, table
 END = 1
 SHARD_TOKENS = 1 << 20
 PARTITION_BYTES = 24 << 20
-LEXICON = 200_000
+LEXICON = 300_000
+# Parts encoded in a call; how the vocabulary marks the last id of a part.
+TOGETHER, WORD_END = 2_000, "</w>"
+# Words of these characters only (no apostrophe or special token, lower case letter by letter) are cut by the
+# tokenizer into runs of letters, single digits, and runs of the rest, whatever stands beside them.
+_PLAIN = re.compile(r"[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_PART = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
 # Grammar: rounds, most rules of a round, symbols whose pairs are counted in a round, least uses of a rule.
 ROUNDS, RULES, SYMBOLS, USES = 8, 256, 1024, 8
 
@@ -48,89 +56,141 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Encodes UTF-8 texts word by word, each distinct word once."""
+class Lexicon(dict):
+    """Numbers of strings, in the order in which they are first asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = at = len(self)
+        return at
+
+
+class Runs:
+    """Ids of numbered strings, one after the other."""
+
+    def __init__(self) -> None:
+        self.flat, self.begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
 
-    class _Lexicon(dict):
-        def __missing__(self, word: bytes) -> int:
-            self[word] = at = len(self)
-            return at
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings numbered so, in a row, and how many each has."""
+        sizes = self.begins[which + 1] - self.begins[which]
+        upto = np.cumsum(sizes)
+        # The place in `flat` is the place in the row, shifted for each string.
+        return self.flat[np.arange(sizes.sum()) + np.repeat(self.begins[which] - upto + sizes, sizes)], sizes
+
+
+class Encoder:
+    """Encodes UTF-8 texts; each distinct word, and each part of plain words, goes to the library once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.words, self.flat, self.known = self._Lexicon(), np.zeros(0, np.int32), 0
-        self.begins = np.zeros(1, np.int64)
-
-    def _learn(self) -> None:
-        """Encode the words met since the last call."""
-        new = [w.decode("utf-8", "replace") for w in list(self.words)[self.known :]]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32)])
-        ends = self.begins[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)
-        self.begins = np.concatenate([self.begins, ends])
-        self.known = len(self.words)
+        self.words, self.parts = Lexicon(), Lexicon()
+        self.of_words, self.of_parts = Runs(), Runs()
+
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Encode new parts in one text; the last id of each has the mark of an end."""
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer does not cut words as expected")
+            self.of_parts.add(ids, np.diff(ends, prepend=-1))
+
+    def _learn(self, known: int) -> None:
+        """Encode the words met after the first `known`, those of plain letters and marks by their parts."""
+        new = [w.decode("utf-8", "replace") for w in islice(self.words, known, None)]
+        parts = [_PART.findall(w.lower()) if _PLAIN.fullmatch(w) else None for w in new]
+        other = [self.tokenizer.encode(w, add_special_tokens=False).ids for w, of in zip(new, parts, strict=True) if of is None]
+        before = len(self.parts)
+        which = np.fromiter(map(self.parts.__getitem__, chain.from_iterable(of for of in parts if of is not None)), np.int64)
+        self._encode_parts(list(islice(self.parts, before, None)))
+        ids, sizes = self.of_parts.take(which)
+        plain = np.array([of is not None for of in parts])
+        counts = np.array([len(of) for of in parts if of is not None], np.int64)
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)] if len(counts) else counts
+        # Words of either kind, back in their order.
+        pieces = Runs()
+        pieces.add(ids, np.diff(upto, prepend=0))
+        pieces.add(np.array([i for x in other for i in x], np.int64), np.array([len(x) for x in other], np.int64))
+        order = np.empty(len(new), np.int64)
+        order[plain] = np.arange(plain.sum())
+        order[~plain] = plain.sum() + np.arange(len(other))
+        self.of_words.add(*pieces.take(order))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of each text, with END."""
         if len(self.words) > LEXICON:
             self._clear()
         split = [(t or b"").split() for t in texts]
-        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64)
-        if len(self.words) > self.known:
-            self._learn()
-        size = self.begins[word + 1] - self.begins[word]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        # Ids of all words in a row: the place in `flat` is the place in the row, shifted for each word.
-        ids = self.flat[np.arange(upto[-1]) + np.repeat(self.begins[word] - upto[:-1], size)]
-        cuts = upto[np.cumsum([len(s) for s in split])]
+        known = len(self.words)
+        which = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64)
+        if len(self.words) > known:
+            self._learn(known)
+        ids, sizes = self.of_words.take(which)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(s) for s in split], dtype=np.int64)]
         return [np.append(x, np.int32(END)) for x in np.split(ids, cuts[:-1])] if texts else []
 
 
+def _alternate(at: np.ndarray) -> np.ndarray:
+    """Of sorted places, every second one of each run of neighbours, from its first."""
+    place = np.arange(len(at))
+    begins = np.concatenate([[True], np.diff(at) > 1])[: len(at)]
+    return (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
+
+
 def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, the rules as an array of pairs, and for each symbol if it ends a document.
 
     `last` marks the last id of each document. Symbol vocabulary + k stands for rule k's pair.
     """
-    symbols, last, rules = ids.astype(np.int64), last.copy(), []
+    symbols, last, rules = ids.astype(np.int32), last.copy(), []
     n = vocabulary
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
         frequent = np.bincount(symbols, minlength=n)
         top = np.argsort(-frequent, kind="stable")[:SYMBOLS]
-        rank = np.full(n, -1, np.int64)
-        rank[top] = np.arange(len(top))
+        rank = np.full(n, -1, np.int32)
+        rank[top] = np.arange(len(top), dtype=np.int32)
         ranked = rank[symbols]
-        left, right = ranked[:-1], ranked[1:]
-        usable = (left >= 0) & (right >= 0) & ~last[:-1]
-        code = left * SYMBOLS + right
-        count = np.bincount(code[usable], minlength=SYMBOLS * SYMBOLS)
+        usable = np.flatnonzero((ranked[:-1] >= 0) & (ranked[1:] >= 0) & ~last[:-1])
+        code = ranked[usable] * SYMBOLS + ranked[usable + 1]
+        count = np.bincount(code, minlength=SYMBOLS * SYMBOLS)
         best = np.argpartition(-count, RULES)[:RULES]
         best = best[count[best] >= USES]
         best = best[np.lexsort((best, -count[best]))]
-        for _ in range(2):  # the second time without rules that others left too few places for
-            rule = np.full(SYMBOLS * SYMBOLS, -1, np.int64)
-            rule[best] = np.arange(len(best))
-            at = np.flatnonzero(usable)
-            at = at[rule[code[at]] >= 0]
+        rule = np.full(SYMBOLS * SYMBOLS, -1, np.int32)
+        for again in range(3):  # once more, twice, without rules that others left too few places for
+            rule[:] = -1
+            rule[best] = np.arange(len(best), dtype=np.int32)
+            of = rule[code]
+            at, of = usable[of >= 0], of[of >= 0]
+            if again == 2:
+                break
+            if again == 0:
+                usable, code = at, code[rule[code] >= 0]
             # Of places in a row, each overlapping the next, every second one is replaced.
-            first = np.concatenate([[True], np.diff(at) > 1])[: len(at)]
-            nth = np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-            at = at[nth % 2 == 0]
-            best = best[np.bincount(rule[code[at]], minlength=len(best)) >= USES]
-        if not len(best):
+            chosen = _alternate(at)
+            best = best[np.bincount(of[chosen], minlength=len(best)) >= USES]
+        chosen = _alternate(at)
+        at, of = at[chosen], of[chosen]
+        if not len(best) or not len(at):
             break
-        rule = np.full(SYMBOLS * SYMBOLS, -1, np.int64)
-        rule[best] = np.arange(len(best))
-        at = at[rule[code[at]] >= 0]
         rules.append(np.column_stack([top[best // SYMBOLS], top[best % SYMBOLS]]))
-        symbols[at] = n + rule[code[at]]
+        symbols[at] = n + of
         last[at] = last[at + 1]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
