@@ -8,6 +8,7 @@ from dataclasses import MISSING, fields
 from pyspark.sql import SparkSession
 
 from arrivals.plans import StarInputs, load_star
+from arrivals.plans.airports import FILES
 
 
 def main() -> None:
@@ -18,11 +19,12 @@ def main() -> None:
             "--" + field.name.replace("_", "-"), required=required, default=None if required else field.default
         )
     parser.add_argument("--output", required=True)
-    parser.add_argument("--replace-arrivals", choices=["all", "partitions"], default="all")
+    parser.add_argument("--replace-arrivals", choices=["all", "months"], default="all")
+    parser.add_argument("--airport-files", type=int, default=FILES)
     options = vars(parser.parse_args())
-    output, replace = options.pop("output"), options.pop("replace_arrivals")
+    output, replace, files = (options.pop(name) for name in ("output", "replace_arrivals", "airport_files"))
     spark = SparkSession.builder.appName("arrivals").getOrCreate()
-    load_star(spark, StarInputs(**options), output, replace).show(truncate=False)
+    load_star(spark, StarInputs(**options), output, replace, files).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -14,26 +14,10 @@ from arrivals.plans.airports import RANGE_KEYS
 from arrivals.plans.arrivals import MODE_LAYOUT, STATE_LAYOUT
 from arrivals.plans.demographics import LAYOUT
 from arrivals.schemas import AIRPORTS, ARRIVALS, DEMOGRAPHICS, US_PORTS
-from arrivals.sinks import write_partitioned, write_plain, write_ranged
+from arrivals.sinks import write_partitioned, write_plain, write_ranged, write_slices
 from arrivals.sources import read_stored
 
 
-def _summary(stored: DataFrame, keys: list[str]) -> DataFrame:
-    return stored.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("arrivals"),
-        F.count("arrival_date").alias("dated"),
-        F.sum("admission_number").alias("admissions"),
-    )
-
-
-def _summary_sql(keys: list[str]) -> str:
-    columns = ", ".join(keys)
-    return f"""
-        SELECT {columns}, count(*) AS arrivals, count(arrival_date) AS dated, sum(admission_number) AS admissions
-        FROM ({ARRIVALS_SQL}) AS a GROUP BY {columns}
-    """
-
-
 def sink_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = s.scratch(spark, "us_ports")
     write_plain(map_port(spark, sf_dir), path)
@@ -43,13 +27,22 @@ def sink_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_partition3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = s.scratch(spark, "arrivals_us_state")
     write_partitioned(arrivals(spark, sf_dir), path, STATE_LAYOUT)
-    return _summary(read_stored(spark, path, ARRIVALS), STATE_LAYOUT)
+    return read_stored(spark, path, ARRIVALS)
 
 
 def sink_partition4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = s.scratch(spark, "arrivals_arrival_mode")
     write_partitioned(arrivals(spark, sf_dir), path, MODE_LAYOUT)
-    return _summary(read_stored(spark, path, ARRIVALS), MODE_LAYOUT)
+    return read_stored(spark, path, ARRIVALS)
+
+
+def sink_month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months, with other states and ports, then all again: nothing of the first load is left."""
+    path = s.scratch(spark, "arrivals_months")
+    facts = arrivals(spark, sf_dir)
+    write_slices(facts.withColumn("us_state", F.concat("us_state", F.lit("x"))), path, STATE_LAYOUT, 2)
+    write_slices(facts, path, STATE_LAYOUT, 2)
+    return read_stored(spark, path, ARRIVALS)
 
 
 def sink_partition1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,14 +61,16 @@ QUERIES = {
     "sink_plain": sink_plain,
     "sink_partition3": sink_partition3,
     "sink_partition4": sink_partition4,
+    "sink_month_replaced": sink_month_replaced,
     "sink_partition1": sink_partition1,
     "sink_range": sink_range,
 }
 
 SQL = {
     "sink_plain": MAPPING_SQL["map_port"],
-    "sink_partition3": _summary_sql(STATE_LAYOUT),
-    "sink_partition4": _summary_sql(MODE_LAYOUT),
+    "sink_partition3": ARRIVALS_SQL,
+    "sink_partition4": ARRIVALS_SQL,
+    "sink_month_replaced": ARRIVALS_SQL,
     "sink_partition1": DEMOGRAPHICS_SQL,
     "sink_range": AIRPORTS_SQL,
 }

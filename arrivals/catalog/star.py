@@ -36,12 +36,12 @@ def lookup_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lookup in a dimension that grows with the data: no broadcast hint, Spark picks the join."""
-    names = s.derive(spark, sf_dir, "SELECT p_partkey, p_name FROM {part} WHERE p_size <> 7")
+    names = s.derive(spark, sf_dir, "SELECT p_partkey, p_name FROM {part}")
     parts = dimension(Codes(names, "p_partkey", "p_name", numeric=True), broadcast_bytes=0)
     facts = s.derive(
         spark,
         sf_dir,
-        """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_partkey END AS part
+        """SELECT l_orderkey, l_linenumber, CASE l_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN -l_partkey ELSE l_partkey END AS part
            FROM {lineitem}""",
     )
     return lookup(facts, parts, "part", "part_name", "unknown")
@@ -91,21 +91,36 @@ _DATE = """
     CASE WHEN arrdate <> 0 THEN strftime(DATE '1960-01-01' + CAST(floor(arrdate) AS INTEGER), '%Y-%m-%d') END
 """
 
+# The columns are fixed values. A lookup is a scalar subquery, which fails if a code is listed twice.
 ARRIVALS_SQL = f"""
+    WITH facts AS (FROM ({_FACTS})), states AS (FROM ({_STATES})), visas AS (FROM ({_VISAS})), modes AS (FROM ({_MODES}))
     SELECT
-        i94yr AS year, i94mon AS month, i94cit AS birth_country, i94res AS residence_country,
-        i94port AS port, {_DATE} AS arrival_date,
-        coalesce(m.mode, 'Not reported') AS arrival_mode, coalesce(c.state_code, '99') AS us_state,
-        depdate AS departure_date, i94bir AS repondent_age, coalesce(v.visa, 'Other') AS visa_type_code,
-        dtadfile AS date_added, visapost AS visa_issued_department, occup AS occupation,
-        entdepa AS arrival_flag, entdepd AS departure_flag, entdepu AS update_flag,
-        matflag AS match_arrival_departure_fag, biryear AS birth_year, dtaddto AS allowed_date,
-        insnum AS ins_number, airline, admnum AS admission_number, fltno AS flight_number,
+        i94yr AS year,
+        i94mon AS month,
+        i94cit AS birth_country,
+        i94res AS residence_country,
+        i94port AS port,
+        {_DATE} AS arrival_date,
+        ifnull((SELECT mode FROM modes WHERE mode_code = i94mode), 'Not reported') AS arrival_mode,
+        ifnull((SELECT state_code FROM states WHERE state_code = i94addr), '99') AS us_state,
+        depdate AS departure_date,
+        i94bir AS repondent_age,
+        ifnull((SELECT visa FROM visas WHERE visa_code = i94visa), 'Other') AS visa_type_code,
+        dtadfile AS date_added,
+        visapost AS visa_issued_department,
+        occup AS occupation,
+        entdepa AS arrival_flag,
+        entdepd AS departure_flag,
+        entdepu AS update_flag,
+        matflag AS match_arrival_departure_fag,
+        biryear AS birth_year,
+        dtaddto AS allowed_date,
+        insnum AS ins_number,
+        airline,
+        admnum AS admission_number,
+        fltno AS flight_number,
         visatype AS visa_type
-    FROM ({_FACTS}) AS i
-    LEFT JOIN ({_STATES}) AS c ON i.i94addr = c.state_code
-    LEFT JOIN ({_VISAS}) AS v ON i.i94visa = v.visa_code
-    LEFT JOIN ({_MODES}) AS m ON i.i94mode = m.mode_code
+    FROM facts
 """
 
 SQL = {
@@ -116,9 +131,9 @@ SQL = {
     """,
     "lookup_large": """
         SELECT l_orderkey, l_linenumber, part, coalesce(p_name, 'unknown') AS part_name
-        FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_partkey END AS part
+        FROM (SELECT l_orderkey, l_linenumber, CASE l_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN -l_partkey ELSE l_partkey END AS part
               FROM lineitem) AS f
-        LEFT JOIN part ON f.part = p_partkey AND p_size <> 7
+        LEFT JOIN part ON f.part = p_partkey
     """,
     "lookup_star": ARRIVALS_SQL,
     "star_load": f"""
@@ -135,5 +150,11 @@ SQL = {
         SELECT 'us_cities_demographics', (SELECT count(*) FROM orders), (SELECT count(*) FROM ({DEMOGRAPHICS_SQL}) AS d)
         UNION ALL
         SELECT 'immigration_data', count(*), count(*) FROM lineitem
+        UNION ALL
+        SELECT 'arrival dates', count(*) FILTER (arrdate <> 0), count({_DATE}) FROM ({_FACTS}) AS f
+        UNION ALL
+        SELECT 'visas', count(*), count(*) FROM ({_VISAS}) AS v
+        UNION ALL
+        SELECT 'modes', count(*), count(*) FROM ({_MODES}) AS m
     """,
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +17,6 @@ CODE_COLUMNS = ["iata_code", "local_code"]
 RANGE_KEYS = ["airport_code", "state"]
 FILES = 3
 
-ROWS_PER_FILE = 10_000_000
-
 
 def clean_airports(raw: DataFrame, swap_axes: bool = False) -> DataFrame:
     """Distinct airports of the country, one row for each of an airport's codes.
@@ -40,13 +36,8 @@ def clean_airports(raw: DataFrame, swap_axes: bool = False) -> DataFrame:
     return union_codes(shaped, CODE_COLUMNS, "airport_code").select(AIRPORTS.names)
 
 
-def store_airports(raw: DataFrame, path: str) -> tuple[int, int]:
-    """Store the cleaned airports; return the distinct rows read and the rows stored.
-
-    There are three files, and more once the rows read no longer fit three of ROWS_PER_FILE.
-    """
+def store_airports(raw: DataFrame, path: str, files: int = FILES) -> tuple[int, int]:
+    """Store the cleaned airports in up to `files` files; return the distinct rows read and the rows stored."""
     airports = check_schema(clean_airports(raw), AIRPORTS)
     rows_in = count_rows(distinct_rows(raw)).first()["rows"]
-    most = rows_in * len(CODE_COLUMNS)
-    files = max(FILES, ceil(most / ROWS_PER_FILE))
     return rows_in, write_ranged(airports, path, RANGE_KEYS, files)

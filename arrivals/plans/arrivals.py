@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from arrivals.functions import sas_date
 from arrivals.operators import Codes, Dimension, dimensions, lookup
-from arrivals.sinks import write_partitioned
+from arrivals.plans.mappings import BadCodeList
+from arrivals.sinks import write_partitioned, write_slices
 
 # Defaults of the lookups, and each output column with the column it renames.
 NO_MODE = "Not reported"
@@ -59,15 +60,17 @@ class ArrivalDimensions:
 
     @classmethod
     def of(cls, us_state: DataFrame, visa: DataFrame, mode: DataFrame) -> ArrivalDimensions:
-        return cls(
-            **dimensions(
-                {
-                    "us_state": Codes(us_state, "state_code", "state_code"),
-                    "visa": Codes(visa, "visa_code", "visa", numeric=True),
-                    "mode": Codes(mode, "mode_code", "mode", numeric=True),
-                }
-            )
+        """Measure and check the lists; one without codes would give every fact the default and is refused."""
+        checked = dimensions(
+            {
+                "us_state": Codes(us_state, "state_code", "state_code"),
+                "visa": Codes(visa, "visa_code", "visa", numeric=True),
+                "mode": Codes(mode, "mode_code", "mode", numeric=True),
+            }
         )
+        if empty := [name for name, dim in checked.items() if not dim.rows]:
+            raise BadCodeList(f"no codes in {empty}")
+        return cls(**checked)
 
 
 def conform_arrivals(facts: DataFrame, dims: ArrivalDimensions, departure_day: bool = False) -> DataFrame:
@@ -90,10 +93,14 @@ def store_arrivals(arrivals: DataFrame, path: str, replace: str = "all") -> int:
     """Store the fact table in both layouts and return its number of rows.
 
     The second layout scans the source again. That costs one more pruned read and some broadcast
-    probes, where keeping the whole fact table would fill the disks of the executors.
+    probes, where keeping the whole fact table would fill the disks of the executors. With
+    replace="months" the months in `arrivals` are replaced whole, and all others stay.
     """
-    rows = write_partitioned(arrivals, path + "_us_state", STATE_LAYOUT, replace)
-    again = write_partitioned(arrivals, path + "_arrival_mode", MODE_LAYOUT, replace)
+    if replace == "months":
+        rows, again = (write_slices(arrivals, path + p, k, 2) for p, k in (("_us_state", STATE_LAYOUT), ("_arrival_mode", MODE_LAYOUT)))
+    else:
+        rows = write_partitioned(arrivals, path + "_us_state", STATE_LAYOUT)
+        again = write_partitioned(arrivals, path + "_arrival_mode", MODE_LAYOUT)
     if rows != again:
         raise RuntimeError(f"the layouts hold {rows} and {again} rows: the source changed in between")
     return rows

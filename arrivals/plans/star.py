@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from arrivals.functions import sas_date
 from arrivals.operators import COUNTRY, MODE, US_PORT, US_STATE, VISA
-from arrivals.plans.airports import store_airports
+from arrivals.plans.airports import FILES, store_airports
 from arrivals.plans.arrivals import ArrivalDimensions, conform_arrivals, store_arrivals
 from arrivals.plans.demographics import store_demographics
 from arrivals.plans.mappings import load_mapping
@@ -40,11 +42,12 @@ class StarInputs:
     facts_format: str = "parquet"
 
 
-def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arrivals: str = "all") -> DataFrame:
+def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arrivals: str = "all", airport_files: int = FILES) -> DataFrame:
     """Store every dataset below `output`, replacing earlier ones.
 
-    With `replace_arrivals="partitions"` arrivals of other months stay, so that months can be
-    added to one dataset.
+    With `replace_arrivals="months"` the months of the facts are replaced whole and arrivals of other
+    months stay, so that months can be added to one dataset, and delivered again. The airports
+    go into up to `airport_files` files.
 
     Returns a report with the rows read and stored of each dataset. Visa and mode lists only
     serve the lookups and are not stored.
@@ -60,7 +63,7 @@ def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arri
         lines = count_rows(read_mapping_lines(spark, path)).first()["rows"]
         counts.append((name, lines, write_plain(check_schema(table, schema), root + name)))
 
-    counts.append((AIRPORTS_NAME, *store_airports(read_airports(spark, inputs.airports), root + AIRPORTS_NAME)))
+    counts.append((AIRPORTS_NAME, *store_airports(read_airports(spark, inputs.airports), root + AIRPORTS_NAME, airport_files)))
     demographics = read_demographics(spark, inputs.demographics)
     counts.append((DEMOGRAPHICS_NAME, *store_demographics(demographics, root + DEMOGRAPHICS_NAME)))
 
@@ -75,5 +78,14 @@ def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arri
         facts = read_facts(spark, inputs.facts, inputs.facts_format)
     arrivals = check_schema(conform_arrivals(facts, dims), ARRIVALS)
     rows_in = count_rows(facts).first()["rows"]
-    counts.append((ARRIVALS_NAME, rows_in, store_arrivals(arrivals, root + ARRIVALS_NAME, replace_arrivals)))
+    rows_out = store_arrivals(arrivals, root + ARRIVALS_NAME, replace_arrivals)
+    if rows_in != rows_out:
+        raise RuntimeError(f"{rows_in} facts were read and {rows_out} stored")
+    counts.append((ARRIVALS_NAME, rows_in, rows_out))
+    # Not stored: day numbers that gave no date (rows_in counts those that should have given one).
+    day = F.col("arrdate").try_cast("double")
+    dated = facts.filter(day.isNotNull() & (day != 0)).agg(F.count(F.lit(1)), F.count(sas_date(day))).first()
+    counts.append(("arrival dates", *dated))
+    for name, path, dim in (("visas", inputs.visas, dims.visa), ("modes", inputs.modes, dims.mode)):
+        counts.append((name, count_rows(read_mapping_lines(spark, path)).first()["rows"], dim.rows))
     return report(spark, counts)

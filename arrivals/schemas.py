@@ -166,3 +166,13 @@ def check_schema(df: DataFrame, expected: StructType) -> DataFrame:
         surplus = [f"{n} {t.simpleString()}" for n, t in found if (n, t) not in wanted]
         raise SchemaMismatch(f"missing {missing}, unexpected {surplus}, or a different order")
     return df
+
+
+def check_columns(df: DataFrame, expected: StructType, types: bool = True) -> DataFrame:
+    """Return `df` unchanged, or fail if it lacks a column of `expected` or has it with another type."""
+    found = {f.name: f.dataType for f in df.schema}
+    missing = [f.name for f in expected if f.name not in found]
+    unlike = [f"{f.name} {found[f.name].simpleString()}" for f in expected if types and f.name in found and found[f.name] != f.dataType]
+    if missing or unlike:
+        raise SchemaMismatch(f"missing {missing}, unlike {unlike}")
+    return df

@@ -1,5 +1,5 @@
 """Parquet writers for any file system Spark can reach."""
 
-from arrivals.sinks.parquet import write_partitioned, write_plain, write_ranged
+from arrivals.sinks.parquet import write_partitioned, write_plain, write_ranged, write_slices
 
-__all__ = ["write_partitioned", "write_plain", "write_ranged"]
+__all__ = ["write_partitioned", "write_plain", "write_ranged", "write_slices"]

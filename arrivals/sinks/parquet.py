@@ -6,6 +6,9 @@ is run again after a failure is still counted once, and no second pass is needed
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
@@ -40,6 +43,29 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str], replace: str =
     return seen.get["rows"]
 
 
+def write_slices(df: DataFrame, path: str, keys: list[str], slices: int) -> int:
+    """Replace whole slices of the dataset at `path`, those that `df` has rows of; return the rows stored.
+
+    A slice is one value of each of the first `slices` keys. It is overwritten as a whole, so directories of
+    an earlier version that `df` no longer has are gone. There must be few slices: their values come to the
+    driver, and each is one job. The rows are counted in what is stored.
+    """
+    by, rest = keys[:slices], keys[slices:]
+    stored = 0
+    for values in df.select(*by).distinct().collect():
+        own = df.filter(reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(by, values, strict=True)])).drop(*by)
+        where = "/".join(f"{k}={_directory(v)}" for k, v in zip(by, values, strict=True))
+        written = write_partitioned(own, f"{path}/{where}", rest)
+        if df.sparkSession.read.parquet(f"{path}/{where}").count() != written:
+            raise RuntimeError(f"{path}/{where} does not hold the {written} rows written")
+        stored += written
+    return stored
+
+
+def _directory(value: object) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
 def write_ranged(df: DataFrame, path: str, keys: list[str], files: int = 3) -> int:
     """Replace the dataset at `path` by up to `files` files holding ranges of `keys`.
 

@@ -2,7 +2,7 @@
 
 from arrivals.sources.delimited import read_airports, read_delimited, read_demographics
 from arrivals.sources.facts import read_facts, read_facts_untyped
-from arrivals.sources.mapping_text import read_mapping_lines, split_mapping_lines
+from arrivals.sources.mapping_text import read_mapping_lines, split_mapping_lines, unpaired_lines
 from arrivals.sources.stored import read_stored
 
 __all__ = [
@@ -14,4 +14,5 @@ __all__ = [
     "read_mapping_lines",
     "read_stored",
     "split_mapping_lines",
+    "unpaired_lines",
 ]

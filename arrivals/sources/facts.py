@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from arrivals.schemas import FACTS
+from arrivals.schemas import FACTS, check_columns
 
 
 def read_facts(
@@ -14,21 +14,26 @@ def read_facts(
 ) -> DataFrame:
     """Scan a typed extract, Parquet by preference: only the columns of `schema` are read.
 
-    For CSV, which binds by position, `schema` must list all columns of the file.
+    For CSV, which binds by position, `schema` must list all columns of the file. Formats that
+    carry a schema are checked first: an absent column or another type fails, others may be there.
     """
     reader = spark.read.schema(schema)
+    if fmt != "csv":
+        check_columns(spark.read.format(fmt).load(path), schema)
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.format(fmt).load(path)
 
 
 def read_facts_untyped(spark: SparkSession, path: str, schema: StructType = FACTS) -> DataFrame:
-    """Scan a CSV whose header gives the column names, in any order, among other columns.
+    """Scan CSV files whose header gives the column names, in any order, among other columns.
+
+    All files of a folder must have the same header; one that differs fails the read.
 
     All columns arrive as text. `count` is dropped and the columns of `schema` are picked by
     name and cast; text that is not a number becomes null.
     """
-    text = spark.read.csv(path, header=True).drop("count")
+    text = check_columns(spark.read.csv(path, header=True, enforceSchema=False), schema, types=False).drop("count")
     return text.select(
         [
             F.col(f.name) if isinstance(f.dataType, StringType) else F.col(f.name).try_cast(f.dataType).alias(f.name)

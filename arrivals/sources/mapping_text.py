@@ -18,7 +18,7 @@ def split_mapping_lines(lines: DataFrame, separator: str) -> DataFrame:
 
     A separator of several characters goes with lines trimmed at both ends. With a single
     character only the spaces before each field are removed: tabs and trailing blanks stay.
-    Lines without the separator, such as a closing `;`, hold no pair and are left out.
+    Blank lines and a closing `;` hold no pair and are left out; `unpaired_lines` finds any others.
     """
     several = len(separator) > 1
     line = trim_blank_edges(F.col("value")) if several else F.col("value")
@@ -31,3 +31,9 @@ def split_mapping_lines(lines: DataFrame, separator: str) -> DataFrame:
             field(nth_part(F.col("line"), separator, 1, limit=2)).alias("label"),
         )
     )
+
+
+def unpaired_lines(lines: DataFrame, separator: str) -> DataFrame:
+    """Lines that hold no pair, other than blank ones and a lone `;`."""
+    line = F.trim(F.regexp_replace("value", r"\s", " "))
+    return lines.filter(~F.col("value").contains(separator) & ~line.isin("", ";"))

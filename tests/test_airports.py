@@ -102,10 +102,9 @@ def test_store(spark, tmp_path):
     assert rows(read_stored(spark, target, AIRPORTS)) == rows(clean_airports(raw))
 
 
-def test_more_files_once_rows_no_longer_fit_three(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("arrivals.plans.airports.ROWS_PER_FILE", 10)
+def test_the_number_of_files_is_an_argument(spark, tmp_path):
     raw = airports(spark, *[{"iata_code": f"I{i:03}"} for i in range(40)])
-    store_airports(raw, str(tmp_path / "stored"))
+    store_airports(raw, str(tmp_path / "stored"), files=8)
     assert len(parquet_files(tmp_path / "stored")) == 8
 
 

@@ -6,6 +6,7 @@ import pytest
 from helpers import planned
 
 import __spark_entry__ as registry
+from arrivals.catalog import all_queries, all_sql
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -29,10 +30,10 @@ def ordered(columns, data):
     return sorted((tuple(row[i] for i in order) for row in data), key=repr)
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", all_queries())
 def test_query(spark, sql, name):
-    found = registry.queries()[name](spark, str(TABLES))
-    expected = sql.execute(registry.oracle_sql()[name])
+    found = all_queries()[name](spark, str(TABLES))
+    expected = sql.execute(all_sql()[name])
     columns = [c[0] for c in expected.description]
     types = {f.name: SQL_TYPES[f.dataType.simpleString()] for f in found.schema}
     assert types == {c[0]: str(c[1]) for c in expected.description}

@@ -9,7 +9,8 @@ from arrivals.__main__ import main
 from arrivals.operators import DuplicateKey
 from arrivals.plans import ArrivalDimensions, StarInputs, conform_arrivals, load_star, store_arrivals
 from arrivals.plans.arrivals import MODE_LAYOUT, STATE_LAYOUT
-from arrivals.schemas import AIRPORTS, ARRIVALS, COUNTRIES, DEMOGRAPHICS, FACTS, US_PORTS, US_STATES, check_schema
+from arrivals.plans.mappings import BadCodeList
+from arrivals.schemas import AIRPORTS, ARRIVALS, COUNTRIES, DEMOGRAPHICS, FACTS, US_PORTS, US_STATES, SchemaMismatch, check_schema
 from arrivals.sources import read_facts, read_facts_untyped, read_stored
 
 BASE = {
@@ -184,12 +185,15 @@ def test_whole_load(spark, tmp_path):
     target = str(tmp_path / "out")
     for _ in range(2):
         assert rows(load_star(spark, source, target)) == [
+            ("arrival dates", 2, 2),
             ("countries", 2, 2),
             ("immigration_data", 2, 2),
+            ("modes", 2, 2),
             ("us_airports", 2, 2),
             ("us_cities_demographics", 3, 1),
             ("us_ports", 3, 2),
             ("us_states", 2, 2),
+            ("visas", 2, 2),
         ]
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == [
         "countries",
@@ -229,11 +233,35 @@ def test_months_can_be_added(spark, tmp_path):
     may = replace(april, facts=str(tmp_path / "may"))
     facts(spark, {"i94mon": 5.0}).write.parquet(may.facts)
     target = str(tmp_path / "out")
-    for source in (april, may, may):
-        load_star(spark, source, target, replace_arrivals="partitions")
-    for layout in ("us_state", "arrival_mode"):
-        stored = read_stored(spark, f"{target}/immigration_data_{layout}", ARRIVALS)
-        assert rows(stored.groupBy("month").count()) == [(4.0, 2), (5.0, 1)]
+    corrected = replace(april, facts=str(tmp_path / "corrected"))
+    facts(spark, {"i94mon": 5.0, "i94port": "NEW"}, {"i94mon": 5.0, "i94port": "NEW"}).write.parquet(corrected.facts)
+    for source, stored_rows in ((april, [(4.0, 2)]), (may, [(4.0, 2), (5.0, 1)]), (may, [(4.0, 2), (5.0, 1)]), (corrected, [(4.0, 2), (5.0, 2)])):
+        load_star(spark, source, target, replace_arrivals="months")
+        for layout in ("us_state", "arrival_mode"):
+            stored = read_stored(spark, f"{target}/immigration_data_{layout}", ARRIVALS)
+            assert rows(stored.groupBy("month").count()) == stored_rows
+    assert rows(stored.filter("month = 5").select("port").distinct()) == [("NEW",)]
+
+
+def test_bad_inputs_are_refused(spark, tmp_path):
+    good = inputs(spark, tmp_path / "in")
+    lacking = replace(good, facts=str(tmp_path / "lacking"))
+    facts(spark, {}).drop("i94visa").write.parquet(lacking.facts)
+    with pytest.raises(SchemaMismatch):
+        load_star(spark, lacking, str(tmp_path / "out"))
+    for text in ("1=Business\n", "\n;\n"):
+        listed = tmp_path / f"visas{len(text)}.txt"
+        listed.write_text(text)
+        with pytest.raises(BadCodeList):
+            load_star(spark, replace(good, visas=str(listed)), str(tmp_path / "out"))
+
+
+def test_second_header_order_fails(spark, tmp_path):
+    facts(spark, {}).write.csv(str(tmp_path / "csv"), header=True)
+    one = facts(spark, {})
+    one.select(*reversed(one.columns)).write.csv(str(tmp_path / "csv"), header=True, mode="append")
+    with pytest.raises(Exception, match="header"):
+        read_facts_untyped(spark, str(tmp_path / "csv")).collect()
 
 
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
