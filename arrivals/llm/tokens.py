@@ -19,13 +19,15 @@ ids are ordered by a hash of their text. An empty table gives no shards and an e
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,13 +36,15 @@ from arrivals.llm.common import shared_folder, table
 END = 1
 SHARD_TOKENS = 1 << 20
 PARTITION_BYTES = 24 << 20
-LEXICON = 300_000
+LEXICON = 600_000
 # Parts encoded in a call; how the vocabulary marks the last id of a part.
 TOGETHER, WORD_END = 2_000, "</w>"
 # Words of these characters only (no apostrophe or special token, lower case letter by letter) are cut by the
 # tokenizer into runs of letters, single digits, and runs of the rest, whatever stands beside them.
-_PLAIN = re.compile(r"[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-_PART = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+_PLAIN = r"^[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+$"
+_PART = r"([a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+)"
+# Put between parts; no plain word has it.
+CUT = "\x01"
 # Grammar: rounds, most rules of a round, symbols whose pairs are counted in a round, least uses of a rule.
 ROUNDS, RULES, SYMBOLS, USES = 8, 256, 1024, 8
 
@@ -56,12 +60,17 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Lexicon(dict):
+def lexicon() -> dict[bytes, int]:
     """Numbers of strings, in the order in which they are first asked for."""
+    return defaultdict(count().__next__)
 
-    def __missing__(self, key) -> int:
-        self[key] = at = len(self)
-        return at
+
+def numbered(strings: pa.Array, known: dict[bytes, int]) -> np.ndarray:
+    """The numbers of strings in a lexicon, which is asked once for each distinct one."""
+    coded = strings.dictionary_encode()
+    strings = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False)
+    distinct = np.fromiter(map(known.__getitem__, strings), np.int64, len(strings))
+    return distinct[coded.indices.to_numpy()]
 
 
 class Runs:
@@ -96,7 +105,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.words, self.parts = Lexicon(), Lexicon()
+        self.words, self.parts = lexicon(), lexicon()
         self.of_words, self.of_parts = Runs(), Runs()
 
     def _encode_parts(self, parts: list[str]) -> None:
@@ -111,20 +120,21 @@ class Encoder:
 
     def _learn(self, known: int) -> None:
         """Encode the words met after the first `known`, those of plain letters and marks by their parts."""
-        new = [w.decode("utf-8", "replace") for w in islice(self.words, known, None)]
-        parts = [_PART.findall(w.lower()) if _PLAIN.fullmatch(w) else None for w in new]
-        other = [self.tokenizer.encode(w, add_special_tokens=False).ids for w, of in zip(new, parts, strict=True) if of is None]
+        new = pa.array([str(w, "utf-8", "replace") for w in islice(self.words, known, None)], pa.string())
+        plain = pc.match_substring_regex(new, _PLAIN)
+        other = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in new.filter(pc.invert(plain)).to_pylist()]
+        cut = pc.replace_substring_regex(pc.utf8_lower(new.filter(plain)), _PART, r"\1" + CUT)
+        cut = pc.split_pattern(pc.utf8_rtrim(cut, CUT), CUT)
         before = len(self.parts)
-        which = np.fromiter(map(self.parts.__getitem__, chain.from_iterable(of for of in parts if of is not None)), np.int64)
-        self._encode_parts(list(islice(self.parts, before, None)))
+        which = numbered(cut.flatten(), self.parts)
+        self._encode_parts([str(w, "utf-8") for w in islice(self.parts, before, None)])
         ids, sizes = self.of_parts.take(which)
-        plain = np.array([of is not None for of in parts])
-        counts = np.array([len(of) for of in parts if of is not None], np.int64)
-        upto = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)] if len(counts) else counts
+        upto = np.concatenate([[0], np.cumsum(sizes)])[cut.offsets.to_numpy()]
         # Words of either kind, back in their order.
         pieces = Runs()
-        pieces.add(ids, np.diff(upto, prepend=0))
+        pieces.add(ids, np.diff(upto))
         pieces.add(np.array([i for x in other for i in x], np.int64), np.array([len(x) for x in other], np.int64))
+        plain = plain.to_numpy(zero_copy_only=False)
         order = np.empty(len(new), np.int64)
         order[plain] = np.arange(plain.sum())
         order[~plain] = plain.sum() + np.arange(len(other))
@@ -134,14 +144,15 @@ class Encoder:
         """Ids of each text, with END."""
         if len(self.words) > LEXICON:
             self._clear()
-        split = [(t or b"").split() for t in texts]
+        # Blanks at either end leave an empty word, which has no ids.
+        split = pc.ascii_split_whitespace(pa.array([t or b"" for t in texts], pa.binary()).view(pa.string()))
         known = len(self.words)
-        which = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64)
+        which = numbered(split.flatten(), self.words)
         if len(self.words) > known:
             self._learn(known)
         ids, sizes = self.of_words.take(which)
-        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(s) for s in split], dtype=np.int64)]
-        return [np.append(x, np.int32(END)) for x in np.split(ids, cuts[:-1])] if texts else []
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
+        return [np.append(x, np.int32(END)) for x in np.split(ids, cuts[1:-1])] if texts else []
 
 
 def _alternate(at: np.ndarray) -> np.ndarray:
