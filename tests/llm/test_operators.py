@@ -187,7 +187,7 @@ def test_tokens_equal_the_library(make):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokens.tokenizer_file())
-    odd = ["don't STOP", "a<|endoftext|>b", "été ́x", "ΣΑΣ İ", "12,5!! x\x1cy z", passage(3, 3000), None, "", "\x01 a"]
+    odd = ["don't STOP", "a<|endoftext|>b", "été ́x", "ΣΑΣ İ", "12,5!! x\x1cy z", passage(3, 3000), None, "", "\x01 a", "  ÀÉ ßÿ×÷ ", "\n\n", "x\x01y #1,000.50;"]
     got = {r["doc_id"]: r for r in tokens.tokenize(make([(i, t, "", "") for i, t in enumerate(odd)])).collect()}
     start = 0
     for i, text in enumerate(odd):
