@@ -261,3 +261,39 @@ def test_pipeline_stages(spark, tables):
     assert len(rows) == docs.count() and set(rows["doc_id"]) == ids
     rows = rows.sort_values("start")
     assert rows["start"].tolist() == [0, *rows["n_tokens"].cumsum().tolist()[:-1]]
+
+
+def test_passages_with_foreign_words_between(make):
+    rows, expected = [], {}
+    for n, gap in enumerate([0, 1, 10, 30, 31, 40, 80, 120, 200, 240, 400]):
+        one, two = ([f"{side}{n}x{i}" for i in range(60)] for side in "pq")
+        for later in (0, 1):
+            between = [f"{'uv'[later]}{n}x{i}" for i in range(gap)]
+            rows.append((2 * n + later, " ".join([f"{'st'[later]}{n}", *one, *between, *two]), "", ""))
+        # Brute force over all pairs of ends: of 120 words with `gap` between them, 0.8 must agree.
+        if 120 >= 0.8 * (120 + gap):
+            expected[2 * n + 1] = [(1, 121 + gap)]
+        else:
+            expected[2 * n + 1] = [(1, 61), (61 + gap, 121 + gap)]
+    found = {}
+    for r in substring.passages(make(rows)).collect():
+        assert r["origin_id"] == r["doc_id"] - 1 and (r["origin_first"], r["origin_end"]) == (r["first_word"], r["end_word"])
+        found.setdefault(r["doc_id"], []).append((r["first_word"], r["end_word"]))
+    assert {k: sorted(v) for k, v in found.items()} == expected
+
+
+def test_longest_stretch_against_brute_force():
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        step = np.where(rng.random((2, 130)) < rng.choice([0.05, 0.15, 0.3]), rng.integers(1, 12, (2, 130)), 1)
+        px, py = np.cumsum(step, axis=1)
+        brute = [
+            px[j] - px[i] + 1
+            for i in range(130)
+            for j in range(i, 130)
+            if px[j] - px[i] + 1 >= substring.WORDS and substring._alike(px, py, i, j) >= substring.ALIKE
+        ]
+        found = substring._longest(px, py)
+        assert (found is None) == (not brute)
+        if found:
+            assert substring._alike(px, py, *found) >= substring.ALIKE and px[found[1]] - px[found[0]] + 1 == max(brute)
