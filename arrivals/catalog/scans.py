@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals.catalog import standins as s
+from arrivals.catalog.star import arrivals_sql, dimensions
 from arrivals.operators import COUNTRY
+from arrivals.plans import conform_arrivals
+from arrivals.schemas import DEMOGRAPHICS
 from arrivals.sources import (
+    faulty_lines,
     read_airports,
     read_demographics,
     read_facts,
@@ -48,6 +52,20 @@ def scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_demographics(spark, path)
 
 
+def scan_csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a bad number, or with fields cut off, as they stand in the files."""
+    path = s.scratch(spark, "demographics_short.csv")
+    lines = s.derive(spark, sf_dir, s.DEMOGRAPHICS_LINES)
+    # One column, named like the whole header, with whole lines in it.
+    lines.select(F.col("value").alias(";".join(DEMOGRAPHICS.names))).write.csv(path, header=True, sep="\x01", quote="")
+    return faulty_lines(spark, path, DEMOGRAPHICS, ";").select("line", "empty_columns")
+
+
+def arrivals_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts as text, conformed: columns bind by name, and ages that are no numbers become null."""
+    return conform_arrivals(scan_csv_untyped(spark, sf_dir), dimensions(spark, sf_dir))
+
+
 def scan_mapping_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = s.scratch(spark, "countries.txt")
     s.derive(spark, sf_dir, s.COUNTRY_LINES).write.text(path)
@@ -59,14 +77,23 @@ QUERIES = {
     "scan_csv_untyped": scan_csv_untyped,
     "scan_csv_comma": scan_csv_comma,
     "scan_csv_semicolon": scan_csv_semicolon,
+    "scan_csv_rejected": scan_csv_rejected,
     "scan_mapping_text": scan_mapping_text,
+    "arrivals_from_csv": arrivals_from_csv,
 }
 
+_UNTYPED = f"""
+    SELECT * REPLACE (CASE WHEN admnum % 6 = 0 THEN NULL ELSE i94bir END AS i94bir)
+    FROM ({s.plain(s.FACTS)}) AS f
+"""
+
 SQL = {
     "scan_facts": s.plain(s.FACTS),
-    "scan_csv_untyped": f"""
-        SELECT * REPLACE (CASE WHEN admnum % 6 = 0 THEN NULL ELSE i94bir END AS i94bir)
-        FROM ({s.plain(s.FACTS)}) AS f
+    "scan_csv_untyped": _UNTYPED,
+    "arrivals_from_csv": arrivals_sql(_UNTYPED),
+    "scan_csv_rejected": f"""
+        SELECT value AS line, substr(empty_columns, 2) AS empty_columns
+        FROM ({s.plain(s.DEMOGRAPHICS_LINES)}) AS t WHERE faulty
     """,
     "scan_csv_comma": s.plain(s.AIRPORTS_RAW),
     "scan_csv_semicolon": s.plain(s.DEMOGRAPHICS),

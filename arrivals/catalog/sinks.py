@@ -11,10 +11,10 @@ from arrivals.catalog.mappings import map_port
 from arrivals.catalog.star import ARRIVALS_SQL, arrivals
 from arrivals.catalog.tables import AIRPORTS_SQL, DEMOGRAPHICS_SQL, airports_clean, demographics_clean
 from arrivals.plans.airports import RANGE_KEYS
-from arrivals.plans.arrivals import MODE_LAYOUT, STATE_LAYOUT
+from arrivals.plans.arrivals import MODE_LAYOUT, MONTH_KEYS, STATE_LAYOUT
 from arrivals.plans.demographics import LAYOUT
 from arrivals.schemas import AIRPORTS, ARRIVALS, DEMOGRAPHICS, US_PORTS
-from arrivals.sinks import write_partitioned, write_plain, write_ranged, write_slices
+from arrivals.sinks import publish, read_published, write_partitioned, write_plain, write_ranged
 from arrivals.sources import read_stored
 
 
@@ -40,9 +40,10 @@ def sink_month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months, with other states and ports, then all again: nothing of the first load is left."""
     path = s.scratch(spark, "arrivals_months")
     facts = arrivals(spark, sf_dir)
-    write_slices(facts.withColumn("us_state", F.concat("us_state", F.lit("x"))), path, STATE_LAYOUT, 2)
-    write_slices(facts, path, STATE_LAYOUT, 2)
-    return read_stored(spark, path, ARRIVALS)
+    layouts = {"_us_state": STATE_LAYOUT}
+    publish(facts.withColumn("us_state", F.concat("us_state", F.lit("x"))), path, layouts, MONTH_KEYS)
+    publish(facts, path, layouts, MONTH_KEYS)
+    return read_published(spark, path, "_us_state", ARRIVALS)
 
 
 def sink_partition1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,6 +120,18 @@ DEMOGRAPHICS_TEXT = """
     FROM {orders}
 """
 
+# The same as lines; of some the last two fields are cut off.
+_SHORT = "number_of_foreign_born IN ('0', '7', '14')"
+DEMOGRAPHICS_LINES = f"""
+    SELECT city || ';' || coalesce(state, '') || ';' || median_age || ';' || male_population || ';' || female_population || ';' ||
+        total_population || ';' || coalesce(number_of_veterans, '') || ';' || number_of_foreign_born || ';' ||
+        average_household_size || ';' || state_code || CASE WHEN {_SHORT} THEN '' ELSE ';' || race || ';' || count END AS value,
+        {_SHORT} OR total_population = 'n/a' AS faulty,
+        CASE WHEN state IS NULL THEN ',state' ELSE '' END || CASE WHEN total_population = 'n/a' THEN ',total_population' ELSE '' END ||
+        CASE WHEN number_of_veterans IS NULL THEN ',number_of_veterans' ELSE '' END || CASE WHEN {_SHORT} THEN ',race,count' ELSE '' END AS empty_columns
+    FROM ({DEMOGRAPHICS_TEXT}) AS t
+"""
+
 # The same rows after the scan.
 DEMOGRAPHICS = f"""
     SELECT city, state, TRY_CAST(median_age AS DOUBLE) AS median_age, male_population, female_population,

@@ -12,14 +12,17 @@ from arrivals.operators import Codes, dimension, lookup
 from arrivals.plans import ArrivalDimensions, StarInputs, conform_arrivals, load_star
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed facts of the stand-in."""
-    dims = ArrivalDimensions.of(
+def dimensions(spark: SparkSession, sf_dir: str) -> ArrivalDimensions:
+    return ArrivalDimensions.of(
         us_state=s.derive(spark, sf_dir, s.STATES),
         visa=s.derive(spark, sf_dir, s.VISAS),
         mode=s.derive(spark, sf_dir, s.MODES),
     )
-    return conform_arrivals(s.derive(spark, sf_dir, s.FACTS), dims)
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed facts of the stand-in."""
+    return conform_arrivals(s.derive(spark, sf_dir, s.FACTS), dimensions(spark, sf_dir))
 
 
 def sas_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +95,12 @@ _DATE = """
 """
 
 # The columns are fixed values. A lookup is a scalar subquery, which fails if a code is listed twice.
-ARRIVALS_SQL = f"""
-    WITH facts AS (FROM ({_FACTS})), states AS (FROM ({_STATES})), visas AS (FROM ({_VISAS})), modes AS (FROM ({_MODES}))
+
+
+def arrivals_sql(facts: str) -> str:
+    """Conformed arrivals of any facts."""
+    return f"""
+    WITH facts AS (FROM ({facts})), states AS (FROM ({_STATES})), visas AS (FROM ({_VISAS})), modes AS (FROM ({_MODES}))
     SELECT
         i94yr AS year,
         i94mon AS month,
@@ -123,6 +130,9 @@ ARRIVALS_SQL = f"""
     FROM facts
 """
 
+
+ARRIVALS_SQL = arrivals_sql(_FACTS)
+
 SQL = {
     "sas_date": f"SELECT admnum, arrdate, {_DATE} AS arrival_date FROM ({_FACTS}) AS f",
     "lookup_one": f"""
@@ -151,6 +161,18 @@ SQL = {
         UNION ALL
         SELECT 'immigration_data', count(*), count(*) FROM lineitem
         UNION ALL
+        SELECT 'us_airports lines', count(*), count(*) FROM customer
+        UNION ALL
+        SELECT 'us_cities_demographics lines', count(*), count(*) FILTER (total_population <> 'n/a') FROM ({s.plain(s.DEMOGRAPHICS_TEXT)}) AS t
+        UNION ALL
+        SELECT 'typed facts', count(*), count(*) FROM lineitem
+        UNION ALL
+        SELECT 'state lookups', count(*), count(*) FILTER (i94addr IN (SELECT state_code FROM ({_STATES}) AS t)) FROM ({_FACTS}) AS f
+        UNION ALL
+        SELECT 'visa lookups', count(*), count(*) FILTER (i94visa IN (SELECT visa_code FROM ({_VISAS}) AS t)) FROM ({_FACTS}) AS f
+        UNION ALL
+        SELECT 'mode lookups', count(*), count(*) FILTER (i94mode IN (SELECT mode_code FROM ({_MODES}) AS t)) FROM ({_FACTS}) AS f
+        UNION ALL
         SELECT 'arrival dates', count(*) FILTER (arrdate <> 0), count({_DATE}) FROM ({_FACTS}) AS f
         UNION ALL
         SELECT 'visas', count(*), count(*) FROM ({_VISAS}) AS v

@@ -95,17 +95,17 @@ def dimension(codes: Codes, broadcast_bytes: int = BROADCAST_BYTES) -> Dimension
     return dimensions({"": codes}, broadcast_bytes)[""]
 
 
-def lookup(facts: DataFrame, dim: Dimension, key: str, into: str, default: str) -> DataFrame:
+def lookup(facts: DataFrame, dim: Dimension, key: str, into: str, default: str, missed: str | None = None) -> DataFrame:
     """Add column `into`: the value `dim` has for `key`, or `default` where there is none.
 
     Every fact row is kept exactly once. A dimension within its size bound is broadcast, so the
     facts are neither moved nor sorted. A larger one is joined by shuffle; adaptive execution
-    then splits partitions swollen by one hot key, or by null keys, over several tasks.
+    then splits partitions swollen by one hot key, or by null keys, over several tasks. With `missed`, a
+    column of that name tells the rows whose code `dim` does not have.
     """
     fact_key = F.col(key).try_cast("double") if dim.numeric else F.col(key).cast("string")
     pairs = F.broadcast(dim.pairs) if dim.broadcast else dim.pairs
-    return (
-        facts.join(pairs, fact_key == F.col(_CODE), "left")
-        .withColumn(into, F.coalesce(F.col(_VALUE), F.lit(default)))
-        .drop(_CODE, _VALUE)
-    )
+    new = {into: F.coalesce(F.col(_VALUE), F.lit(default))}
+    if missed:
+        new[missed] = F.col(_CODE).isNull()
+    return facts.join(pairs, fact_key == F.col(_CODE), "left").withColumns(new).drop(_CODE, _VALUE)

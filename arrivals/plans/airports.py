@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.functions import nth_part
-from arrivals.operators import distinct_rows, union_codes
-from arrivals.quality import count_rows
+from arrivals.operators import union_codes
+from arrivals.quality import count_distinct
 from arrivals.schemas import AIRPORTS, check_schema
 from arrivals.sinks import write_ranged
 
@@ -39,5 +39,5 @@ def clean_airports(raw: DataFrame, swap_axes: bool = False) -> DataFrame:
 def store_airports(raw: DataFrame, path: str, files: int = FILES) -> tuple[int, int]:
     """Store the cleaned airports in up to `files` files; return the distinct rows read and the rows stored."""
     airports = check_schema(clean_airports(raw), AIRPORTS)
-    rows_in = count_rows(distinct_rows(raw)).first()["rows"]
+    rows_in = count_distinct(raw)
     return rows_in, write_ranged(airports, path, RANGE_KEYS, files)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.functions import sas_date
 from arrivals.operators import Codes, Dimension, dimensions, lookup
 from arrivals.plans.mappings import BadCodeList
-from arrivals.sinks import write_partitioned, write_slices
+from arrivals.sinks import publish, write_counted
 
 # Defaults of the lookups, and each output column with the column it renames.
 NO_MODE = "Not reported"
@@ -48,6 +48,19 @@ OUTPUT = {
 # Directory columns of the two stored layouts.
 STATE_LAYOUT = ["year", "month", "us_state"]
 MODE_LAYOUT = ["year", "month", "arrival_mode", "port"]
+LAYOUTS = {"_us_state": STATE_LAYOUT, "_arrival_mode": MODE_LAYOUT}
+# Datasets that grow by months are named so; the first columns of the layouts that make a month.
+MONTHS, MONTH_KEYS = "_months", 2
+
+# What a row is marked with, in one number, so that rows can be counted as they are stored.
+MARKS = "__marks"
+_NO_STATE, _NO_VISA, _NO_MODE, _DATED, _UNDATED, _FAULTY = (1 << i for i in range(6))
+
+
+def metrics() -> dict[str, Column]:
+    """Counts of the rows with each mark."""
+    bits = {"no_state": _NO_STATE, "no_visa": _NO_VISA, "no_mode": _NO_MODE, "dated": _DATED, "undated": _UNDATED, "faulty": _FAULTY}
+    return {name: F.count_if(F.col(MARKS).bitwiseAND(bit) != 0) for name, bit in bits.items()}
 
 
 @dataclass(frozen=True)
@@ -73,34 +86,57 @@ class ArrivalDimensions:
         return cls(**checked)
 
 
-def conform_arrivals(facts: DataFrame, dims: ArrivalDimensions, departure_day: bool = False) -> DataFrame:
+def conform_arrivals(facts: DataFrame, dims: ArrivalDimensions, departure_day: bool = False, marks: bool = False, faulty: str | None = None) -> DataFrame:
     """Decode the arrival date, resolve state, visa and mode, and name the columns.
 
     One output row for each fact row; with broadcast lookups one stage without a shuffle.
-    `departure_date` stays a day number; `departure_day` adds it decoded as a last column.
+    `departure_date` stays a day number; `departure_day` adds it decoded as a last column. With `marks`, a last
+    column MARKS tells which lookups missed, if the row should have and has a date, and if it is
+    faulty, as the column `faulty` of the facts says; `metrics` counts them.
     """
+    bits = []
+    if marks:
+        day = F.col("arrdate").try_cast("double")
+        should = day.isNotNull() & (day != 0)
+        bits = [(should, _DATED), (should & sas_date(day).isNull(), _UNDATED)]
+        if faulty:
+            bits.append((F.col(faulty), _FAULTY))
+        facts = facts.withColumn(MARKS, _sum_of(bits))
     resolved = facts.withColumn("arrdate", sas_date(F.col("arrdate")))
-    resolved = lookup(resolved, dims.us_state, "i94addr", "us_state", NO_STATE)
-    resolved = lookup(resolved, dims.visa, "i94visa", "visa_type_code", NO_VISA)
-    resolved = lookup(resolved, dims.mode, "i94mode", "arrival_mode", NO_MODE)
+    for dim, key, into, default, bit in (
+        (dims.us_state, "i94addr", "us_state", NO_STATE, _NO_STATE),
+        (dims.visa, "i94visa", "visa_type_code", NO_VISA, _NO_VISA),
+        (dims.mode, "i94mode", "arrival_mode", NO_MODE, _NO_MODE),
+    ):
+        resolved = lookup(resolved, dim, key, into, default, "__missed" if marks else None)
+        if marks:
+            resolved = resolved.withColumn(MARKS, F.col(MARKS) + _sum_of([(F.col("__missed"), bit)])).drop("__missed")
     columns = [F.col(source).alias(name) for name, source in OUTPUT.items()]
     if departure_day:
         columns.append(sas_date(F.col("depdate")).alias("departure_day"))
+    if marks:
+        columns.append(F.col(MARKS))
     return resolved.select(columns)
 
 
-def store_arrivals(arrivals: DataFrame, path: str, replace: str = "all") -> int:
-    """Store the fact table in both layouts and return its number of rows.
+def _sum_of(bits: list[tuple[Column, int]]) -> Column:
+    return sum((F.when(holds, bit).otherwise(0) for holds, bit in bits), F.lit(0))
+
+
+def store_arrivals(arrivals: DataFrame, path: str, replace: str = "all") -> dict[str, int]:
+    """Store the fact table in both layouts; return the number of `rows`, and the `metrics` if it has MARKS.
 
     The second layout scans the source again. That costs one more pruned read and some broadcast
-    probes, where keeping the whole fact table would fill the disks of the executors. With
-    replace="months" the months in `arrivals` are replaced whole, and all others stay.
+    probes, where keeping the whole fact table would fill the disks of the executors. All else is counted as
+    the first layout is written. With replace="months" the months in `arrivals` are replaced whole in the
+    dataset at `path` + MONTHS, both layouts at once (`arrivals.sinks.months`), and all others stay.
     """
+    marked = MARKS in arrivals.columns
+    counts, hidden = (metrics(), [MARKS]) if marked else ({}, [])
     if replace == "months":
-        rows, again = (write_slices(arrivals, path + p, k, 2) for p, k in (("_us_state", STATE_LAYOUT), ("_arrival_mode", MODE_LAYOUT)))
-    else:
-        rows = write_partitioned(arrivals, path + "_us_state", STATE_LAYOUT)
-        again = write_partitioned(arrivals, path + "_arrival_mode", MODE_LAYOUT)
-    if rows != again:
-        raise RuntimeError(f"the layouts hold {rows} and {again} rows: the source changed in between")
-    return rows
+        return publish(arrivals, path + MONTHS, LAYOUTS, MONTH_KEYS, counts, hidden)
+    counted = write_counted(arrivals, path + "_us_state", STATE_LAYOUT, counts, hidden)
+    again = write_counted(arrivals.drop(*hidden), path + "_arrival_mode", MODE_LAYOUT)
+    if counted["rows"] != again["rows"]:
+        raise RuntimeError(f"the layouts hold {counted['rows']} and {again['rows']} rows: the source changed in between")
+    return counted

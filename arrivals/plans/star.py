@@ -5,18 +5,25 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from arrivals.functions import sas_date
 from arrivals.operators import COUNTRY, MODE, US_PORT, US_STATE, VISA
 from arrivals.plans.airports import FILES, store_airports
-from arrivals.plans.arrivals import ArrivalDimensions, conform_arrivals, store_arrivals
+from arrivals.plans.arrivals import LAYOUTS, MARKS, MONTHS, ArrivalDimensions, conform_arrivals, store_arrivals
 from arrivals.plans.demographics import store_demographics
 from arrivals.plans.mappings import load_mapping
-from arrivals.quality import count_rows, report
-from arrivals.schemas import ARRIVALS, COUNTRIES, US_PORTS, US_STATES, check_schema
-from arrivals.sinks import write_plain
-from arrivals.sources import read_airports, read_demographics, read_facts, read_facts_untyped, read_mapping_lines
+from arrivals.quality import count_rows, preview, report
+from arrivals.schemas import AIRPORTS, AIRPORTS_RAW, ARRIVALS, COUNTRIES, DEMOGRAPHICS, US_PORTS, US_STATES, check_schema
+from arrivals.sinks import read_published, write_plain
+from arrivals.sources import (
+    count_lines,
+    faulty_lines,
+    read_airports,
+    read_demographics,
+    read_facts,
+    read_facts_untyped,
+    read_mapping_lines,
+    read_stored,
+)
 
 # Names of the stored datasets. The arrivals get one suffix for each layout.
 COUNTRIES_NAME = "countries"
@@ -25,6 +32,7 @@ PORTS_NAME = "us_ports"
 AIRPORTS_NAME = "us_airports"
 DEMOGRAPHICS_NAME = "us_cities_demographics"
 ARRIVALS_NAME = "immigration_data"
+_FAULTY = "__faulty"
 
 
 @dataclass(frozen=True)
@@ -42,15 +50,26 @@ class StarInputs:
     facts_format: str = "parquet"
 
 
-def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arrivals: str = "all", airport_files: int = FILES) -> DataFrame:
+def load_star(
+    spark: SparkSession,
+    inputs: StarInputs,
+    output: str,
+    replace_arrivals: str = "all",
+    airport_files: int = FILES,
+    preview_rows: int = 0,
+) -> DataFrame:
     """Store every dataset below `output`, replacing earlier ones.
 
     With `replace_arrivals="months"` the months of the facts are replaced whole and arrivals of other
-    months stay, so that months can be added to one dataset, and delivered again. The airports
-    go into up to `airport_files` files.
+    months stay, so that months can be added to one dataset, and delivered again; it is read with
+    `read_arrivals`. The airports go into up to `airport_files` files. With `preview_rows`, so many first rows
+    of each stored dataset are shown.
 
-    Returns a report with the rows read and stored of each dataset. Visa and mode lists only
-    serve the lookups and are not stored.
+    CSV records with a bad value or a wrong number of fields are kept, with nulls, and stored as they
+    stand below `output`/rejected.
+
+    Returns a report with the rows read and stored of each dataset, and of each check the rows that it
+    looked at and those that passed. Visa and mode lists only serve the lookups and are not stored.
     """
     root = output.rstrip("/") + "/"
     states = load_mapping(spark, inputs.us_states, US_STATE)
@@ -63,6 +82,14 @@ def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arri
         lines = count_rows(read_mapping_lines(spark, path)).first()["rows"]
         counts.append((name, lines, write_plain(check_schema(table, schema), root + name)))
 
+    for name, path, schema, separator in (
+        (AIRPORTS_NAME, inputs.airports, AIRPORTS_RAW, ","),
+        (DEMOGRAPHICS_NAME, inputs.demographics, DEMOGRAPHICS, ";"),
+    ):
+        lines, faulty = count_lines(spark, path, schema, separator)
+        if faulty:
+            write_plain(faulty_lines(spark, path, schema, separator), f"{root}rejected/{name}")
+        counts.append((f"{name} lines", lines, lines - faulty))
     counts.append((AIRPORTS_NAME, *store_airports(read_airports(spark, inputs.airports), root + AIRPORTS_NAME, airport_files)))
     demographics = read_demographics(spark, inputs.demographics)
     counts.append((DEMOGRAPHICS_NAME, *store_demographics(demographics, root + DEMOGRAPHICS_NAME)))
@@ -73,19 +100,50 @@ def load_star(spark: SparkSession, inputs: StarInputs, output: str, replace_arri
         mode=load_mapping(spark, inputs.modes, MODE),
     )
     if inputs.facts_format == "csv":
-        facts = read_facts_untyped(spark, inputs.facts)
+        facts = read_facts_untyped(spark, inputs.facts, faulty=_FAULTY)
     else:
-        facts = read_facts(spark, inputs.facts, inputs.facts_format)
-    arrivals = check_schema(conform_arrivals(facts, dims), ARRIVALS)
-    rows_in = count_rows(facts).first()["rows"]
-    rows_out = store_arrivals(arrivals, root + ARRIVALS_NAME, replace_arrivals)
-    if rows_in != rows_out:
-        raise RuntimeError(f"{rows_in} facts were read and {rows_out} stored")
-    counts.append((ARRIVALS_NAME, rows_in, rows_out))
-    # Not stored: day numbers that gave no date (rows_in counts those that should have given one).
-    day = F.col("arrdate").try_cast("double")
-    dated = facts.filter(day.isNotNull() & (day != 0)).agg(F.count(F.lit(1)), F.count(sas_date(day))).first()
-    counts.append(("arrival dates", *dated))
+        facts = read_facts(spark, inputs.facts, inputs.facts_format, faulty=_FAULTY)
+    arrivals = conform_arrivals(facts, dims, marks=True, faulty=_FAULTY)
+    check_schema(arrivals.drop(MARKS), ARRIVALS)
+    found = store_arrivals(arrivals, root + ARRIVALS_NAME, replace_arrivals)
+    rows = found["rows"]
+    # Files with row counts tell how many rows they have. Others are not read again for that; lookups keep every row.
+    rows_in = rows if inputs.facts_format == "csv" else count_rows(facts).first()["rows"]
+    if rows_in != rows:
+        raise RuntimeError(f"{rows_in} facts were read and {rows} stored")
+    if found["faulty"]:
+        write_plain(facts.filter(_FAULTY).drop(_FAULTY), f"{root}rejected/{ARRIVALS_NAME}")
+    counts += [
+        (ARRIVALS_NAME, rows_in, rows),
+        ("typed facts", rows, rows - found["faulty"]),
+        ("arrival dates", found["dated"], found["dated"] - found["undated"]),
+        *((f"{name} lookups", rows, rows - found[f"no_{name}"]) for name in ("state", "visa", "mode")),
+    ]
     for name, path, dim in (("visas", inputs.visas, dims.visa), ("modes", inputs.modes, dims.mode)):
         counts.append((name, count_rows(read_mapping_lines(spark, path)).first()["rows"], dim.rows))
+    if preview_rows:
+        _show(spark, root, replace_arrivals, preview_rows)
     return report(spark, counts)
+
+
+def read_arrivals(spark: SparkSession, output: str, layout: str = "_us_state") -> DataFrame:
+    """The arrivals of all months that `load_star` stored with replace_arrivals="months"."""
+    return read_published(spark, f"{output.rstrip('/')}/{ARRIVALS_NAME}{MONTHS}", layout, ARRIVALS)
+
+
+def _show(spark: SparkSession, root: str, replace_arrivals: str, rows: int) -> None:
+    """Print the first rows of each stored dataset, in the order of its first columns."""
+    for name, schema in (
+        (COUNTRIES_NAME, COUNTRIES),
+        (STATES_NAME, US_STATES),
+        (PORTS_NAME, US_PORTS),
+        (AIRPORTS_NAME, AIRPORTS),
+        (DEMOGRAPHICS_NAME, DEMOGRAPHICS),
+        *((ARRIVALS_NAME + layout, ARRIVALS) for layout in LAYOUTS),
+    ):
+        if name.startswith(ARRIVALS_NAME) and replace_arrivals == "months":
+            stored = read_arrivals(spark, root, name.removeprefix(ARRIVALS_NAME))
+        else:
+            stored = read_stored(spark, root + name, schema)
+        print(name)
+        preview(stored, schema.names, rows).show(rows, truncate=False)

@@ -1,5 +1,16 @@
 """Parquet writers for any file system Spark can reach."""
 
-from arrivals.sinks.parquet import write_partitioned, write_plain, write_ranged, write_slices
+from arrivals.sinks.months import publications, publish, published, read_published, remove_replaced
+from arrivals.sinks.parquet import write_counted, write_partitioned, write_plain, write_ranged
 
-__all__ = ["write_partitioned", "write_plain", "write_ranged", "write_slices"]
+__all__ = [
+    "publications",
+    "publish",
+    "published",
+    "read_published",
+    "remove_replaced",
+    "write_counted",
+    "write_partitioned",
+    "write_plain",
+    "write_ranged",
+]

@@ -6,10 +6,7 @@ is run again after a failure is still counted once, and no second pass is needed
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 
@@ -31,6 +28,20 @@ def write_plain(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def write_counted(
+    df: DataFrame, path: str, keys: list[str], metrics: dict[str, Column] | None = None, hidden: list[str] | None = None, replace: str = "all"
+) -> dict[str, int]:
+    """As `write_partitioned`, and count more than rows as they are written: each of `metrics`, an aggregate.
+
+    Metrics may use columns in `hidden`, which are not stored.
+    """
+    seen = Observation()
+    every = {"rows": F.count(F.lit(1)), **(metrics or {})}
+    counted = df.hint("rebalance", *keys).observe(seen, *[c.alias(name) for name, c in every.items()])
+    _writer(counted.drop(*(hidden or [])), replace).partitionBy(*keys).parquet(path)
+    return seen.get
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str], replace: str = "all") -> int:
     """Replace the dataset at `path`, with one directory level for each of `keys`.
 
@@ -38,32 +49,7 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str], replace: str =
     each task. Adaptive execution cuts a large directory, even one with a third of all rows,
     into tasks of `spark.sql.adaptive.advisoryPartitionSizeInBytes`.
     """
-    counted, seen = _counted(df.hint("rebalance", *keys))
-    _writer(counted, replace).partitionBy(*keys).parquet(path)
-    return seen.get["rows"]
-
-
-def write_slices(df: DataFrame, path: str, keys: list[str], slices: int) -> int:
-    """Replace whole slices of the dataset at `path`, those that `df` has rows of; return the rows stored.
-
-    A slice is one value of each of the first `slices` keys. It is overwritten as a whole, so directories of
-    an earlier version that `df` no longer has are gone. There must be few slices: their values come to the
-    driver, and each is one job. The rows are counted in what is stored.
-    """
-    by, rest = keys[:slices], keys[slices:]
-    stored = 0
-    for values in df.select(*by).distinct().collect():
-        own = df.filter(reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(by, values, strict=True)])).drop(*by)
-        where = "/".join(f"{k}={_directory(v)}" for k, v in zip(by, values, strict=True))
-        written = write_partitioned(own, f"{path}/{where}", rest)
-        if df.sparkSession.read.parquet(f"{path}/{where}").count() != written:
-            raise RuntimeError(f"{path}/{where} does not hold the {written} rows written")
-        stored += written
-    return stored
-
-
-def _directory(value: object) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    return write_counted(df, path, keys, replace=replace)["rows"]
 
 
 def write_ranged(df: DataFrame, path: str, keys: list[str], files: int = 3) -> int:
@@ -71,10 +57,11 @@ def write_ranged(df: DataFrame, path: str, keys: list[str], files: int = 3) -> i
 
     A hash of the row and its partition number are the last range keys, so that a hot key, or a
     group of equal rows, is divided over several files; only neighbouring files share a key. A
-    task that runs again sends its rows the same way.
+    task that runs again sends its rows the same way. Inside a file rows are sorted by `keys`, and it has
+    a bloom filter of the first one: a lookup of a value reads few row groups, or none.
     """
     last = (F.xxhash64(*df.columns), F.spark_partition_id())
-    spread = df.repartitionByRange(files, *[F.col(k) for k in keys], *last)
+    spread = df.repartitionByRange(files, *[F.col(k) for k in keys], *last).sortWithinPartitions(*keys)
     counted, seen = _counted(spread)
-    _writer(counted, "all").parquet(path)
+    _writer(counted, "all").option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").parquet(path)
     return seen.get["rows"]

@@ -2,41 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from arrivals.schemas import FACTS, check_columns
+from arrivals.sources.delimited import read_delimited
 
 
-def read_facts(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType = FACTS
-) -> DataFrame:
+def read_facts(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType = FACTS, faulty: str | None = None) -> DataFrame:
     """Scan a typed extract, Parquet by preference: only the columns of `schema` are read.
 
-    For CSV, which binds by position, `schema` must list all columns of the file. Formats that
-    carry a schema are checked first: an absent column or another type fails, others may be there.
+    For CSV, which binds by position, `schema` must list all columns of the file, and the header is
+    compared with it. Formats that carry a schema are checked first: an absent column or another type fails,
+    others may be there. With `faulty`, a last column of that name tells if a record has a bad value or
+    a wrong number of fields.
     """
-    reader = spark.read.schema(schema)
-    if fmt != "csv":
-        check_columns(spark.read.format(fmt).load(path), schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+        rows = read_delimited(spark, path, schema, faulty=faulty)
+        return rows.withColumn(faulty, F.col(faulty).isNotNull()) if faulty else rows
+    check_columns(spark.read.format(fmt).load(path), schema)
+    rows = spark.read.schema(schema).format(fmt).load(path)
+    return rows.withColumn(faulty, F.lit(False)) if faulty else rows
 
 
-def read_facts_untyped(spark: SparkSession, path: str, schema: StructType = FACTS) -> DataFrame:
+def read_facts_untyped(spark: SparkSession, path: str, schema: StructType = FACTS, faulty: str | None = None) -> DataFrame:
     """Scan CSV files whose header gives the column names, in any order, among other columns.
 
     All files of a folder must have the same header; one that differs fails the read.
 
     All columns arrive as text. `count` is dropped and the columns of `schema` are picked by
-    name and cast; text that is not a number becomes null.
+    name and cast; text that is not a number becomes null. With `faulty`, a last column of that name
+    tells if a record has such text.
     """
     text = check_columns(spark.read.csv(path, header=True, enforceSchema=False), schema, types=False).drop("count")
-    return text.select(
-        [
-            F.col(f.name) if isinstance(f.dataType, StringType) else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+    numbers = [f for f in schema if not isinstance(f.dataType, StringType)]
+    columns = [F.col(f.name).try_cast(f.dataType).alias(f.name) if f in numbers else F.col(f.name) for f in schema]
+    if faulty:
+        bad = (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in numbers)
+        columns.append(reduce(Column.__or__, bad, F.lit(False)).alias(faulty))
+    return text.select(columns)
