@@ -1,16 +1,16 @@
 """Token ids on disk, compressed by Re-Pair grammars.
 
 Documents are put in ascending order of id by a range shuffle, encoded, closed by an end id each, and
-cut into shards of about SHARD_TOKENS ids. In each shard the most frequent pairs of neighbouring
-symbols are replaced by new symbols, again and again; a pair never crosses the end of a
+cut into shards of about SHARD_TOKENS ids. In each shard frequent pairs of neighbouring symbols are
+replaced by new symbols, again and again, until no pair has USES places; a pair never crosses the end of a
 document. A shard is one row of a Parquet folder: its rules, the number of ids that each rule
 expands to, the symbols, and for each document how many symbols and ids it has. With the
 expansion lengths any range of ids is found and decoded without its neighbours.
 
 Words repeat, and the tokenizer never joins ids across blanks, nor across the runs of letters and of
 marks in a plain word: a task encodes each distinct run once with the library and composes words, and texts,
-from these. Its memory is bounded by a batch of
-texts, a shard, and LEXICON words.
+from these. A Python worker keeps what it has learned for its next task, up to LEXICON words and a slice's; its memory is
+bounded by these, a batch of texts, and a shard.
 
 Defined cases: null and empty texts are just the end id; a null doc_id comes last; rows with equal
 ids are ordered by a hash of their text. An empty table gives no shards and an empty result.
@@ -20,9 +20,9 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -35,8 +35,11 @@ from arrivals.llm.common import shared_folder, table
 
 END = 1
 SHARD_TOKENS = 1 << 20
-PARTITION_BYTES = 24 << 20
+# Text of a partition, from small tables to large ones; partitions wanted before they get larger than the first.
+PARTITION_BYTES, LARGE_BYTES, PARTITIONS = 24 << 20, 512 << 20, 20_000
 LEXICON = 600_000
+# Text encoded at a time.
+SLICE_BYTES = 4 << 20
 # Parts encoded in a call; how the vocabulary marks the last id of a part.
 TOGETHER, WORD_END = 2_000, "</w>"
 # Words of these characters only (no apostrophe or special token, lower case letter by letter) are cut by the
@@ -45,8 +48,8 @@ _PLAIN = r"^[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+$"
 _PART = r"([a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+)"
 # Put between parts; no plain word has it.
 CUT = "\x01"
-# Grammar: rounds, most rules of a round, symbols whose pairs are counted in a round, least uses of a rule.
-ROUNDS, RULES, SYMBOLS, USES = 8, 256, 1024, 8
+# Grammar: least uses of a rule; bins in which pairs are counted, as a power of 2.
+USES, BIN_BITS = 8, 21
 
 SHARDS = (
     "part int, shard int, n_tokens bigint, vocabulary int, rule_left array<int>, rule_right array<int>, "
@@ -60,35 +63,56 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def lexicon() -> dict[bytes, int]:
-    """Numbers of strings, in the order in which they are first asked for."""
-    return defaultdict(count().__next__)
+class Lexicon:
+    """Numbers of strings, in the order in which they are first met."""
 
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.numbers)
 
-def numbered(strings: pa.Array, known: dict[bytes, int]) -> np.ndarray:
-    """The numbers of strings in a lexicon, which is asked once for each distinct one."""
-    coded = strings.dictionary_encode()
-    strings = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False)
-    distinct = np.fromiter(map(known.__getitem__, strings), np.int64, len(strings))
-    return distinct[coded.indices.to_numpy()]
+    def meet(self, strings: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+        """The numbers of strings, and the new ones among them; each distinct one is looked up once."""
+        coded = strings.dictionary_encode()
+        distinct = coded.dictionary.view(pa.binary()).to_pylist()
+        numbers = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(numbers < 0)
+        new = [distinct[i] for i in unknown.tolist()]
+        numbers[unknown] = np.arange(len(self), len(self) + len(new))
+        self.numbers.update(zip(new, numbers[unknown].tolist(), strict=True))
+        return numbers[coded.indices.to_numpy()], new
 
 
 class Runs:
-    """Ids of numbered strings, one after the other."""
+    """Ids of numbered strings, one after the other, in arrays with room to grow."""
 
     def __init__(self) -> None:
-        self.flat, self.begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self._flat, self._begins, self.n = np.zeros(1024, np.int32), np.zeros(1024, np.int64), 0
 
     def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+        at, n = int(self._begins[self.n]), len(sizes)
+        self._flat = _with_room(self._flat, at + len(flat))
+        self._begins = _with_room(self._begins, self.n + n + 1)
+        self._flat[at : at + len(flat)] = flat
+        self._begins[self.n + 1 : self.n + n + 1] = at + np.cumsum(sizes)
+        self.n += n
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the strings numbered so, in a row, and how many each has."""
-        sizes = self.begins[which + 1] - self.begins[which]
+        begins = self._begins[which]
+        sizes = self._begins[which + 1] - begins
         upto = np.cumsum(sizes)
-        # The place in `flat` is the place in the row, shifted for each string.
-        return self.flat[np.arange(sizes.sum()) + np.repeat(self.begins[which] - upto + sizes, sizes)], sizes
+        # The place in the flat array is the place in the row, shifted for each string.
+        return self._flat[np.arange(sizes.sum()) + np.repeat(begins - upto + sizes, sizes)], sizes
+
+
+def _with_room(x: np.ndarray, n: int) -> np.ndarray:
+    if n <= len(x):
+        return x
+    out = np.zeros(max(n, 2 * len(x)), x.dtype)
+    out[: len(x)] = x
+    return out
 
 
 class Encoder:
@@ -105,7 +129,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.words, self.parts = lexicon(), lexicon()
+        self.words, self.parts = Lexicon(), Lexicon()
         self.of_words, self.of_parts = Runs(), Runs()
 
     def _encode_parts(self, parts: list[str]) -> None:
@@ -118,16 +142,15 @@ class Encoder:
                 raise ValueError("the tokenizer does not cut words as expected")
             self.of_parts.add(ids, np.diff(ends, prepend=-1))
 
-    def _learn(self, known: int) -> None:
-        """Encode the words met after the first `known`, those of plain letters and marks by their parts."""
-        new = pa.array([str(w, "utf-8", "replace") for w in islice(self.words, known, None)], pa.string())
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode new words, those of plain letters and marks by their parts."""
+        new = pa.array(words, pa.binary()).view(pa.string())
         plain = pc.match_substring_regex(new, _PLAIN)
         other = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in new.filter(pc.invert(plain)).to_pylist()]
         cut = pc.replace_substring_regex(pc.utf8_lower(new.filter(plain)), _PART, r"\1" + CUT)
         cut = pc.split_pattern(pc.utf8_rtrim(cut, CUT), CUT)
-        before = len(self.parts)
-        which = numbered(cut.flatten(), self.parts)
-        self._encode_parts([str(w, "utf-8") for w in islice(self.parts, before, None)])
+        which, parts = self.parts.meet(cut.flatten())
+        self._encode_parts([str(w, "utf-8") for w in parts])
         ids, sizes = self.of_parts.take(which)
         upto = np.concatenate([[0], np.cumsum(sizes)])[cut.offsets.to_numpy()]
         # Words of either kind, back in their order.
@@ -146,15 +169,20 @@ class Encoder:
             self._clear()
         # Blanks at either end leave an empty word, which has no ids.
         split = pc.ascii_split_whitespace(pa.array([t or b"" for t in texts], pa.binary()).view(pa.string()))
-        known = len(self.words)
-        which = numbered(split.flatten(), self.words)
-        if len(self.words) > known:
-            self._learn(known)
+        which, new = self.words.meet(split.flatten())
+        if new:
+            self._learn(new)
         ids, sizes = self.of_words.take(which)
         cuts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
         return [np.append(x, np.int32(END)) for x in np.split(ids, cuts[1:-1])] if texts else []
 
 
+@lru_cache(1)
+def kept_encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker, with the words it has learned."""
+    return Encoder(path)
+
+
 def _alternate(at: np.ndarray) -> np.ndarray:
     """Of sorted places, every second one of each run of neighbours, from its first."""
     place = np.arange(len(at))
@@ -162,52 +190,77 @@ def _alternate(at: np.ndarray) -> np.ndarray:
     return (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
 
 
+def _by_pair(code: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs in order, and their places in ascending order for each."""
+    bits = int(at[-1]).bit_length() if len(at) else 1
+    if len(at) and int(code.max()) < 1 << (64 - bits):
+        both = np.sort((code << np.uint64(bits)) | at.astype(np.uint64))
+        return both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    order = np.argsort(code, kind="stable")
+    return code[order], at[order]
+
+
+def _frequent(symbols: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs with USES places at least: pair and place of each use, and where each pair begins, most frequent first.
+
+    Pairs are counted in bins first, and only those one by one whose bin is full enough. A place that is ruled out
+    is no longer `alive`: its pair can only get rarer until one of its symbols is replaced.
+    """
+    at = np.flatnonzero(alive)
+    left, right = symbols[at].astype(np.uint64), symbols[at + 1].astype(np.uint64)
+    code = (left << np.uint64(int(symbols.max()).bit_length())) | right
+    bins = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
+    often = (np.bincount(bins, minlength=1 << BIN_BITS) >= USES)[bins]
+    alive[at[~often]] = False
+    code, at = _by_pair(code[often], at[often])
+    begins = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])[: len(at)])
+    uses = np.diff(begins, append=len(at))
+    # A symbol followed by itself is used every other time.
+    for i in np.flatnonzero(symbols[at[begins]] == symbols[at[begins] + 1]).tolist():
+        uses[i] = _alternate(at[begins[i] : begins[i] + uses[i]]).sum()
+    keep = np.flatnonzero(uses >= USES)
+    keep = keep[np.argsort(-uses[keep], kind="stable")]
+    return at, begins[keep], np.diff(begins, append=len(at))[keep]
+
+
 def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, the rules as an array of pairs, and for each symbol if it ends a document.
 
-    `last` marks the last id of each document. Symbol vocabulary + k stands for rule k's pair.
+    `last` marks the last id of each document. Symbol vocabulary + k stands for rule k's pair. A round
+    replaces, of the pairs with USES places, from the most frequent on, all that cannot overlap with one taken before: no
+    symbol is the left one of one pair and the right one of another. So each rule gets all places of its
+    pair, and rounds go on until no pair has USES places.
     """
-    symbols, last, rules = ids.astype(np.int32), last.copy(), []
-    n = vocabulary
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        frequent = np.bincount(symbols, minlength=n)
-        top = np.argsort(-frequent, kind="stable")[:SYMBOLS]
-        rank = np.full(n, -1, np.int32)
-        rank[top] = np.arange(len(top), dtype=np.int32)
-        ranked = rank[symbols]
-        usable = np.flatnonzero((ranked[:-1] >= 0) & (ranked[1:] >= 0) & ~last[:-1])
-        code = ranked[usable] * SYMBOLS + ranked[usable + 1]
-        count = np.bincount(code, minlength=SYMBOLS * SYMBOLS)
-        best = np.argpartition(-count, RULES)[:RULES]
-        best = best[count[best] >= USES]
-        best = best[np.lexsort((best, -count[best]))]
-        rule = np.full(SYMBOLS * SYMBOLS, -1, np.int32)
-        for again in range(3):  # once more, twice, without rules that others left too few places for
-            rule[:] = -1
-            rule[best] = np.arange(len(best), dtype=np.int32)
-            of = rule[code]
-            at, of = usable[of >= 0], of[of >= 0]
-            if again == 2:
-                break
-            if again == 0:
-                usable, code = at, code[rule[code] >= 0]
-            # Of places in a row, each overlapping the next, every second one is replaced.
-            chosen = _alternate(at)
-            best = best[np.bincount(of[chosen], minlength=len(best)) >= USES]
-        chosen = _alternate(at)
-        at, of = at[chosen], of[chosen]
-        if not len(best) or not len(at):
+    symbols, last = ids.astype(np.int32), last.copy()
+    alive = ~last
+    rules: list[tuple[int, int]] = []
+    while len(symbols) > 1:
+        alive[-1] = False
+        places, begins, sizes = _frequent(symbols, alive)
+        pairs = np.column_stack([symbols[places[begins]], symbols[places[begins] + 1]]).tolist() if len(begins) else []
+        lefts, rights = set(), set()
+        picked = []
+        for (a, b), begin, size in zip(pairs, begins.tolist(), sizes.tolist(), strict=True):
+            if a in rights or b in lefts or a == b and a in lefts:
+                continue
+            lefts.add(a)
+            rights.add(b)
+            own = places[begin : begin + size]
+            picked.append(own[_alternate(own)] if a == b else own)
+            rules.append((a, b))
+        if not picked:
             break
-        rules.append(np.column_stack([top[best // SYMBOLS], top[best % SYMBOLS]]))
-        symbols[at] = n + of
+        at = np.concatenate(picked)
+        first = vocabulary + len(rules) - len(picked)
+        symbols[at] = np.repeat(np.arange(first, first + len(picked), dtype=np.int32), [len(p) for p in picked])
         last[at] = last[at + 1]
+        alive[at] = ~last[at]
+        before = at[at > 0] - 1
+        alive[before] = ~last[before]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
-        symbols, last = symbols[stays], last[stays]
-        n += len(best)
-    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), last
+        symbols, last, alive = symbols[stays], last[stays], alive[stays]
+    return symbols, np.array(rules, np.int64).reshape(-1, 2), last
 
 
 def rule_lengths(rules: np.ndarray, vocabulary: int) -> np.ndarray:
@@ -244,21 +297,23 @@ def _shard(part: int, shard: int, doc_ids: list, docs: list[np.ndarray], vocabul
 def write_shards(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     """Encode all documents and write the shards, in order of (part, shard), to a new Parquet folder."""
     bytes_in = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = min(LARGE_BYTES, max(PARTITION_BYTES, bytes_in // PARTITIONS))
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
-    ordered = rows.repartitionByRange(max(1, -(-bytes_in // PARTITION_BYTES)), *order).sortWithinPartitions(*order)
+    ordered = rows.repartitionByRange(max(1, -(-bytes_in // size)), *order).sortWithinPartitions(*order)
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part, n, held = TaskContext.get().partitionId(), 0, 0
-        encoder = Encoder(tokenizer_path)
+        encoder = kept_encoder(tokenizer_path)
         vocabulary = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
         doc_ids: list = []
         encoded: list[np.ndarray] = []
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.iloc[at : at + 256]
+            upto = np.cumsum([len(t) if t else 0 for t in batch["text"]])
+            for at in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(upto // SLICE_BYTES)) + 1):
+                some = batch.iloc[at]
                 for doc_id, ids in zip(some["doc_id"], encoder.encode(list(some["text"])), strict=True):
                     doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
                     encoded.append(ids)

@@ -183,6 +183,47 @@ def test_grammar_round_trip_and_random_access():
     assert sum(shard["doc_symbols"]) * shard["width"] == len(shard["symbols"])
 
 
+def brute_uses(symbols, last):
+    """Uses of each pair that do not overlap, left to right."""
+    uses, at = {}, {}
+    for i in range(len(symbols) - 1):
+        pair = symbols[i], symbols[i + 1]
+        if not last[i] and at.get(pair, -2) < i - 1:
+            at[pair] = i
+            uses[pair] = uses.get(pair, 0) + 1
+    return uses
+
+
+@pytest.mark.parametrize("kinds", [2, 6, 400])
+def test_grammar_leaves_no_frequent_pair(kinds):
+    rng = np.random.default_rng(kinds)
+    words = [rng.integers(2, 2 + kinds, rng.integers(1, 9)) for _ in range(60)]
+    docs = [np.append(np.concatenate([words[rng.integers(60)] for _ in range(rng.integers(1, 90))]), 1).astype(np.int32) for _ in range(120)]
+    docs += [np.append(np.full(n, 2), 1).astype(np.int32) for n in (1, 16, 17, 301)]
+    ids = np.concatenate(docs)
+    last = np.zeros(len(ids), bool)
+    last[np.cumsum([len(d) for d in docs]) - 1] = True
+    symbols, rules, ends = tokens.compress(ids, last, 500)
+    assert len(rules) > 20 and max(brute_uses(symbols.tolist(), ends).values(), default=0) < tokens.USES
+    assert ends.sum() == len(docs) and ends[-1]
+    shard = pd.Series(tokens._shard(0, 0, list(range(len(docs))), docs, 500))
+    assert (tokens.expand(shard, 0, len(ids)) == ids).all()
+    # Each rule is used, in the symbols or in another rule.
+    assert set(range(500, 500 + len(rules))) <= set(symbols.tolist()) | set(rules.ravel().tolist())
+    none = np.zeros(0, np.int32)
+    assert [len(x) for x in tokens.compress(none, none.astype(bool), 500)] == [0, 0, 0]
+
+
+def test_encoder_forgets_beyond_its_lexicon(monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(f"{rng.choice(WORDS)}{rng.choice('é,!')}{rng.randrange(300)}" for _ in range(50)).encode() for _ in range(60)]
+    whole = tokens.Encoder(tokens.tokenizer_file()).encode(texts)
+    monkeypatch.setattr(tokens, "LEXICON", 100)
+    small = tokens.Encoder(tokens.tokenizer_file())
+    for text, ids in zip(texts, whole, strict=True):
+        assert (small.encode([text])[0] == ids).all() and len(small.words) <= 150
+
+
 def test_tokens_equal_the_library(make):
     from tokenizers import Tokenizer
 
