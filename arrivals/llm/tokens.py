@@ -22,7 +22,6 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,9 +36,9 @@ END = 1
 SHARD_TOKENS = 1 << 20
 # Text of a partition, from small tables to large ones; partitions wanted before they get larger than the first.
 PARTITION_BYTES, LARGE_BYTES, PARTITIONS = 24 << 20, 512 << 20, 20_000
-LEXICON = 600_000
+LEXICON = 1_200_000
 # Text encoded at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 # Parts encoded in a call; how the vocabulary marks the last id of a part.
 TOGETHER, WORD_END = 2_000, "</w>"
 # Words of these characters only (no apostrophe or special token, lower case letter by letter) are cut by the
@@ -49,7 +48,7 @@ _PART = r"([a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+)"
 # Put between parts; no plain word has it.
 CUT = "\x01"
 # Grammar: least uses of a rule; bins in which pairs are counted, as a power of 2.
-USES, BIN_BITS = 8, 21
+USES, BIN_BITS = 8, 19
 
 SHARDS = (
     "part int, shard int, n_tokens bigint, vocabulary int, rule_left array<int>, rule_right array<int>, "
@@ -67,20 +66,20 @@ class Lexicon:
     """Numbers of strings, in the order in which they are first met."""
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.known = pa.array([], pa.string())
 
     def __len__(self) -> int:
-        return len(self.numbers)
+        return len(self.known)
 
-    def meet(self, strings: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+    def meet(self, strings: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """The numbers of strings, and the new ones among them; each distinct one is looked up once."""
         coded = strings.dictionary_encode()
-        distinct = coded.dictionary.view(pa.binary()).to_pylist()
-        numbers = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
-        unknown = np.flatnonzero(numbers < 0)
-        new = [distinct[i] for i in unknown.tolist()]
-        numbers[unknown] = np.arange(len(self), len(self) + len(new))
-        self.numbers.update(zip(new, numbers[unknown].tolist(), strict=True))
+        distinct = coded.dictionary
+        found = pc.index_in(distinct, value_set=self.known)
+        numbers = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = distinct.filter(found.is_null())
+        numbers[numbers < 0] = np.arange(len(self), len(self) + len(new))
+        self.known = pa.concat_arrays([self.known, new])
         return numbers[coded.indices.to_numpy()], new
 
 
@@ -142,15 +141,14 @@ class Encoder:
                 raise ValueError("the tokenizer does not cut words as expected")
             self.of_parts.add(ids, np.diff(ends, prepend=-1))
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, new: pa.Array) -> None:
         """Encode new words, those of plain letters and marks by their parts."""
-        new = pa.array(words, pa.binary()).view(pa.string())
         plain = pc.match_substring_regex(new, _PLAIN)
         other = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in new.filter(pc.invert(plain)).to_pylist()]
         cut = pc.replace_substring_regex(pc.utf8_lower(new.filter(plain)), _PART, r"\1" + CUT)
         cut = pc.split_pattern(pc.utf8_rtrim(cut, CUT), CUT)
         which, parts = self.parts.meet(cut.flatten())
-        self._encode_parts([str(w, "utf-8") for w in parts])
+        self._encode_parts(parts.to_pylist())
         ids, sizes = self.of_parts.take(which)
         upto = np.concatenate([[0], np.cumsum(sizes)])[cut.offsets.to_numpy()]
         # Words of either kind, back in their order.
@@ -170,7 +168,7 @@ class Encoder:
         # Blanks at either end leave an empty word, which has no ids.
         split = pc.ascii_split_whitespace(pa.array([t or b"" for t in texts], pa.binary()).view(pa.string()))
         which, new = self.words.meet(split.flatten())
-        if new:
+        if len(new):
             self._learn(new)
         ids, sizes = self.of_words.take(which)
         cuts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
@@ -184,9 +182,9 @@ def kept_encoder(path: str) -> Encoder:
 
 
 def _alternate(at: np.ndarray) -> np.ndarray:
-    """Of sorted places, every second one of each run of neighbours, from its first."""
+    """Of places, every second one of each run of successive ones, from its first."""
     place = np.arange(len(at))
-    begins = np.concatenate([[True], np.diff(at) > 1])[: len(at)]
+    begins = np.concatenate([[True], np.diff(at) != 1])[: len(at)]
     return (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
 
 
@@ -201,26 +199,24 @@ def _by_pair(code: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _frequent(symbols: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs with USES places at least: pair and place of each use, and where each pair begins, most frequent first.
+    """Places of pairs, in order of the pairs; where each pair begins, and its uses, which are at most its places.
 
-    Pairs are counted in bins first, and only those one by one whose bin is full enough. A place that is ruled out
+    Pairs are counted in bins first, and only those one by one whose bin has USES places. A place that is ruled out
     is no longer `alive`: its pair can only get rarer until one of its symbols is replaced.
     """
     at = np.flatnonzero(alive)
-    left, right = symbols[at].astype(np.uint64), symbols[at + 1].astype(np.uint64)
-    code = (left << np.uint64(int(symbols.max()).bit_length())) | right
+    code = (symbols[at].astype(np.uint64) << np.uint64(int(symbols.max()).bit_length())) | symbols[at + 1].astype(np.uint64)
     bins = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
     often = (np.bincount(bins, minlength=1 << BIN_BITS) >= USES)[bins]
     alive[at[~often]] = False
     code, at = _by_pair(code[often], at[often])
-    begins = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])[: len(at)])
-    uses = np.diff(begins, append=len(at))
+    begins = np.concatenate([[True], code[1:] != code[:-1]])[: len(at)]
     # A symbol followed by itself is used every other time.
-    for i in np.flatnonzero(symbols[at[begins]] == symbols[at[begins] + 1]).tolist():
-        uses[i] = _alternate(at[begins[i] : begins[i] + uses[i]]).sum()
-    keep = np.flatnonzero(uses >= USES)
-    keep = keep[np.argsort(-uses[keep], kind="stable")]
-    return at, begins[keep], np.diff(begins, append=len(at))[keep]
+    twice = np.flatnonzero(symbols[at] == symbols[at + 1])
+    used = np.ones(len(at), bool)
+    used[twice] = _alternate(at[twice])
+    at, begins = at[used], np.flatnonzero(begins[used])
+    return at, begins, np.diff(begins, append=len(at))
 
 
 def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,27 +232,27 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.nda
     rules: list[tuple[int, int]] = []
     while len(symbols) > 1:
         alive[-1] = False
-        places, begins, sizes = _frequent(symbols, alive)
-        pairs = np.column_stack([symbols[places[begins]], symbols[places[begins] + 1]]).tolist() if len(begins) else []
+        places, begins, uses = _frequent(symbols, alive)
+        often = np.flatnonzero(uses >= USES)
+        often = often[np.argsort(-uses[often], kind="stable")]
+        rule_of = np.full(len(begins), -1, np.int32)
         lefts, rights = set(), set()
-        picked = []
-        for (a, b), begin, size in zip(pairs, begins.tolist(), sizes.tolist(), strict=True):
-            if a in rights or b in lefts or a == b and a in lefts:
-                continue
-            lefts.add(a)
-            rights.add(b)
-            own = places[begin : begin + size]
-            picked.append(own[_alternate(own)] if a == b else own)
-            rules.append((a, b))
-        if not picked:
+        before = len(rules)
+        for i, a, b in zip(often.tolist(), symbols[places[begins[often]]].tolist(), symbols[places[begins[often]] + 1].tolist(), strict=True):
+            if not (a in rights or b in lefts or a == b and a in lefts):
+                lefts.add(a)
+                rights.add(b)
+                rule_of[i] = vocabulary + len(rules)
+                rules.append((a, b))
+        if len(rules) == before:
             break
-        at = np.concatenate(picked)
-        first = vocabulary + len(rules) - len(picked)
-        symbols[at] = np.repeat(np.arange(first, first + len(picked), dtype=np.int32), [len(p) for p in picked])
+        of = np.repeat(rule_of, uses)
+        at = places[of >= 0]
+        symbols[at] = of[of >= 0]
         last[at] = last[at + 1]
         alive[at] = ~last[at]
-        before = at[at > 0] - 1
-        alive[before] = ~last[before]
+        ahead = at[at > 0] - 1
+        alive[ahead] = ~last[ahead]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
         symbols, last, alive = symbols[stays], last[stays], alive[stays]
