@@ -161,18 +161,23 @@ class Encoder:
         order[~plain] = plain.sum() + np.arange(len(other))
         self.of_words.add(*pieces.take(order))
 
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """Ids of each text, with END."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all UTF-8 texts in a row, END after each, and how many each has with it."""
         if len(self.words) > LEXICON:
             self._clear()
         # Blanks at either end leave an empty word, which has no ids.
-        split = pc.ascii_split_whitespace(pa.array([t or b"" for t in texts], pa.binary()).view(pa.string()))
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, b"").view(pa.string()))
         which, new = self.words.meet(split.flatten())
         if len(new):
             self._learn(new)
         ids, sizes = self.of_words.take(which)
-        cuts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
-        return [np.append(x, np.int32(END)) for x in np.split(ids, cuts[1:-1])] if texts else []
+        upto = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        sizes = np.diff(upto) + 1
+        out = np.full(len(ids) + len(sizes), END, np.int32)
+        text = np.ones(len(out), bool)
+        text[np.cumsum(sizes) - 1] = False
+        out[text] = ids
+        return out, sizes
 
 
 @lru_cache(1)
@@ -227,18 +232,18 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.nda
     symbol is the left one of one pair and the right one of another. So each rule gets all places of its
     pair, and rounds go on until no pair has USES places.
     """
-    symbols, last = ids.astype(np.int32), last.copy()
-    alive = ~last
+    symbols, alive, ends = ids.astype(np.int32), ~last, np.flatnonzero(last)
     rules: list[tuple[int, int]] = []
     while len(symbols) > 1:
         alive[-1] = False
         places, begins, uses = _frequent(symbols, alive)
         often = np.flatnonzero(uses >= USES)
         often = often[np.argsort(-uses[often], kind="stable")]
+        first = places[begins[often]]
         rule_of = np.full(len(begins), -1, np.int32)
         lefts, rights = set(), set()
         before = len(rules)
-        for i, a, b in zip(often.tolist(), symbols[places[begins[often]]].tolist(), symbols[places[begins[often]] + 1].tolist(), strict=True):
+        for i, a, b in zip(often.tolist(), symbols[first].tolist(), symbols[first + 1].tolist(), strict=True):
             if not (a in rights or b in lefts or a == b and a in lefts):
                 lefts.add(a)
                 rights.add(b)
@@ -247,15 +252,21 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.nda
         if len(rules) == before:
             break
         of = np.repeat(rule_of, uses)
-        at = places[of >= 0]
-        symbols[at] = of[of >= 0]
-        last[at] = last[at + 1]
-        alive[at] = ~last[at]
-        ahead = at[at > 0] - 1
-        alive[ahead] = ~last[ahead]
-        stays = np.ones(len(symbols), bool)
-        stays[at + 1] = False
-        symbols, last, alive = symbols[stays], last[stays], alive[stays]
+        taken = np.flatnonzero(of >= 0)
+        at = places[taken]
+        symbols[at] = of[taken]
+        alive[at] = True
+        alive[at[at > 0] - 1] = True
+        gone = np.zeros(len(symbols), bool)
+        gone[at + 1] = True
+        # Where a document's last symbol has gone into a rule, the rule's symbol is the last one.
+        ends -= gone[ends]
+        alive[ends] = False
+        stays = np.flatnonzero(~gone)
+        ends = np.searchsorted(stays, ends)
+        symbols, alive = symbols[stays], alive[stays]
+    last = np.zeros(len(symbols), bool)
+    last[ends] = True
     return symbols, np.array(rules, np.int64).reshape(-1, 2), last
 
 
@@ -267,9 +278,7 @@ def rule_lengths(rules: np.ndarray, vocabulary: int) -> np.ndarray:
     return out[vocabulary:]
 
 
-def _shard(part: int, shard: int, doc_ids: list, docs: list[np.ndarray], vocabulary: int) -> dict:
-    ids = np.concatenate(docs)
-    tokens = np.array([len(d) for d in docs])
+def _shard(part: int, shard: int, doc_ids: pa.Array, ids: np.ndarray, tokens: np.ndarray, vocabulary: int) -> dict:
     last = np.zeros(len(ids), bool)
     last[np.cumsum(tokens) - 1] = True
     symbols, rules, last = compress(ids, last, vocabulary)
@@ -290,6 +299,24 @@ def _shard(part: int, shard: int, doc_ids: list, docs: list[np.ndarray], vocabul
     }
 
 
+_ROW = pa.schema(
+    [(c, pa.int32()) for c in ("part", "shard")]
+    + [("n_tokens", pa.int64()), ("vocabulary", pa.int32())]
+    + [(c, pa.list_(pa.int32())) for c in ("rule_left", "rule_right", "rule_length")]
+    + [("width", pa.int32()), ("symbols", pa.binary()), ("doc_ids", pa.list_(pa.int64()))]
+    + [(c, pa.list_(pa.int32())) for c in ("doc_symbols", "doc_tokens")]
+)
+
+
+def _row(shard: dict) -> pa.RecordBatch:
+    def column(value: object, of: pa.DataType) -> pa.Array:
+        if pa.types.is_list(of):
+            return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), pa.array(value, of.value_type))
+        return pa.array([value], of)
+
+    return pa.RecordBatch.from_arrays([column(shard[f.name], f.type) for f in _ROW], schema=_ROW)
+
+
 def write_shards(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     """Encode all documents and write the shards, in order of (part, shard), to a new Parquet folder."""
     bytes_in = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -298,29 +325,30 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     ordered = rows.repartitionByRange(max(1, -(-bytes_in // size)), *order).sortWithinPartitions(*order)
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, n, held = TaskContext.get().partitionId(), 0, 0
+        part, n = TaskContext.get().partitionId(), 0
         encoder = kept_encoder(tokenizer_path)
         vocabulary = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
-        doc_ids: list = []
-        encoded: list[np.ndarray] = []
+        doc_ids, ids, tokens = pa.array([], pa.int64()), np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
-            upto = np.cumsum([len(t) if t else 0 for t in batch["text"]])
-            for at in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(upto // SLICE_BYTES)) + 1):
-                some = batch.iloc[at]
-                for doc_id, ids in zip(some["doc_id"], encoder.encode(list(some["text"])), strict=True):
-                    doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
-                    encoded.append(ids)
-                    held += len(ids)
-                    if held >= SHARD_TOKENS:
-                        yield pd.DataFrame([_shard(part, n, doc_ids, encoded, vocabulary)])
-                        doc_ids, encoded, held, n = [], [], 0, n + 1
-        if encoded:
-            yield pd.DataFrame([_shard(part, n, doc_ids, encoded, vocabulary)])
-
-    ordered.mapInPandas(shards, SHARDS).write.parquet(path)
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = [0, *(np.flatnonzero(np.diff(upto // SLICE_BYTES)) + 1).tolist(), len(batch)]
+            for at, stop in zip(cuts, cuts[1:], strict=False):
+                some = batch.slice(at, stop - at)
+                more_ids, more_tokens = encoder.encode(some.column("text"))
+                doc_ids = pa.concat_arrays([doc_ids, some.column("doc_id")])
+                ids, tokens = np.concatenate([ids, more_ids]), np.concatenate([tokens, more_tokens])
+                while len(ids) >= SHARD_TOKENS:
+                    docs = int(np.searchsorted(np.cumsum(tokens), SHARD_TOKENS)) + 1
+                    size = int(tokens[:docs].sum())
+                    yield _row(_shard(part, n, doc_ids[:docs], ids[:size], tokens[:docs], vocabulary))
+                    doc_ids, ids, tokens, n = doc_ids[docs:], ids[size:], tokens[docs:], n + 1
+        if len(ids):
+            yield _row(_shard(part, n, doc_ids, ids, tokens, vocabulary))
+
+    ordered.mapInArrow(shards, SHARDS).write.parquet(path)
 
 
 def expand(shard: pd.Series, first: int, stop: int) -> np.ndarray:
@@ -332,13 +360,17 @@ def expand(shard: pd.Series, first: int, stop: int) -> np.ndarray:
     a = np.searchsorted(upto, first, "right") - 1
     b = np.searchsorted(upto, stop, "left")
     symbols = symbols[a:b]
-    pieces = []
-    for x, y in rules:
-        pieces.append(np.concatenate([pieces[z - n] if z >= n else np.array([z]) for z in (x, y)]))
-    flat = np.concatenate([np.arange(n), *pieces])
-    begins = np.concatenate([[0], np.cumsum(length)[:-1]])
+    # What each symbol expands to, one after the other; a rule's parts stand before it.
+    starts = np.concatenate([[0], np.cumsum(length)])
+    flat = np.empty(starts[-1], np.int64)
+    flat[:n] = np.arange(n)
+    for at, half, end, x, y in zip(
+        starts[n:-1].tolist(), (starts[n:-1] + length[rules[:, 0]]).tolist(), starts[n + 1 :].tolist(), starts[rules[:, 0]].tolist(), starts[rules[:, 1]].tolist(), strict=True
+    ):
+        flat[at:half] = flat[x : x + half - at]
+        flat[half:end] = flat[y : y + end - half]
     size = length[symbols]
-    out = np.repeat(begins[symbols] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) if len(symbols) else symbols
+    out = np.repeat(starts[symbols] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) if len(symbols) else symbols
     ids = flat[out + np.arange(len(out))]
     return ids[first - upto[a] : stop - upto[a]].astype(np.uint32)
 

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from arrivals.llm import decontaminate, exactdedup, language, linededup, minhash, mixing, pii, quality, substring, tokens
@@ -174,8 +175,8 @@ def test_spans_are_cut(make, spark):
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     docs = [np.append(rng.integers(0, 6, n), 1).astype(np.int32) for n in rng.integers(0, 300, 80)]
-    shard = pd.Series(tokens._shard(0, 0, list(range(80)), docs, 50_000))
     ids = np.concatenate(docs)
+    shard = pd.Series(tokens._shard(0, 0, list(range(80)), ids, np.array([len(d) for d in docs]), 50_000))
     assert len(shard["rule_left"]) > 0 and len(shard["symbols"]) / shard["width"] < len(ids)
     assert (tokens.expand(shard, 0, len(ids)) == ids).all()
     for a, b in ((0, 1), (17, 400), (400, 400), (len(ids) - 3, len(ids))):
@@ -206,7 +207,7 @@ def test_grammar_leaves_no_frequent_pair(kinds):
     symbols, rules, ends = tokens.compress(ids, last, 500)
     assert len(rules) > 20 and max(brute_uses(symbols.tolist(), ends).values(), default=0) < tokens.USES
     assert ends.sum() == len(docs) and ends[-1]
-    shard = pd.Series(tokens._shard(0, 0, list(range(len(docs))), docs, 500))
+    shard = pd.Series(tokens._shard(0, 0, list(range(len(docs))), ids, np.array([len(d) for d in docs]), 500))
     assert (tokens.expand(shard, 0, len(ids)) == ids).all()
     # Each rule is used, in the symbols or in another rule.
     assert set(range(500, 500 + len(rules))) <= set(symbols.tolist()) | set(rules.ravel().tolist())
@@ -217,11 +218,18 @@ def test_grammar_leaves_no_frequent_pair(kinds):
 def test_encoder_forgets_beyond_its_lexicon(monkeypatch):
     rng = random.Random(2)
     texts = [" ".join(f"{rng.choice(WORDS)}{rng.choice('é,!')}{rng.randrange(300)}" for _ in range(50)).encode() for _ in range(60)]
-    whole = tokens.Encoder(tokens.tokenizer_file()).encode(texts)
+    whole, sizes = tokens.Encoder(tokens.tokenizer_file()).encode(pa.array(texts))
     monkeypatch.setattr(tokens, "LEXICON", 100)
     small = tokens.Encoder(tokens.tokenizer_file())
-    for text, ids in zip(texts, whole, strict=True):
-        assert (small.encode([text])[0] == ids).all() and len(small.words) <= 150
+    for text, ids in zip(texts, np.split(whole, np.cumsum(sizes)[:-1]), strict=True):
+        assert (small.encode(pa.array([text]))[0] == ids).all() and len(small.words) <= 150
+
+
+def test_shards_are_cut_between_documents(make, monkeypatch):
+    rows = [(i, passage(i, n), "", "") for i, n in enumerate([400, 1, 30, 30, 30, 900, 0, 5])]
+    monkeypatch.setattr(tokens, "PARTITION_BYTES", 1 << 30)
+    got = tokens.tokenize(make(rows)).orderBy("doc_id").collect()
+    assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist()
 
 
 def test_tokens_equal_the_library(make):
