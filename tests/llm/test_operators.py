@@ -346,3 +346,57 @@ def test_longest_stretch_against_brute_force():
         assert (found is None) == (not brute)
         if found:
             assert substring._alike(px, py, *found) >= substring.ALIKE and px[found[1]] - px[found[0]] + 1 == max(brute)
+
+
+def test_a_piece_in_the_first_document_hides_nothing(make):
+    """The earlier holder of a passage's seeds has a piece of it only; in one document the passage stands twice."""
+    p = [f"p{i}" for i in range(60)]
+    q = [f"q{i}" for i in range(70)]
+    rows = [
+        (1, " ".join([*p[:40], *(f"a{i}" for i in range(80))]), "", ""),
+        (2, " ".join([*(f"b{i}" for i in range(30)), *p]), "", ""),
+        (3, " ".join([*(f"c{i}" for i in range(50)), *p, "end"]), "", ""),
+        (4, " ".join([*p, *(f"d{i}" for i in range(9))]), "", ""),
+        (5, " ".join([*q, *(f"e{i}" for i in range(90))]), "", ""),
+        (6, " ".join([*q, *(f"f{i}" for i in range(40)), *q, "end"]), "", ""),
+    ]
+    found = {(r["doc_id"], r["first_word"], r["end_word"], r["origin_id"]) for r in substring.passages(make(rows)).collect()}
+    # Of 2, 3 and 4 one stays as the origin of the others.
+    assert found == {(2, 30, 90, 4), (3, 50, 110, 4), (6, 0, 70, 5), (6, 110, 180, 5)}
+
+
+def test_copies_of_a_hot_origin(make, monkeypatch):
+    monkeypatch.setattr(substring, "HOT_SHARE", 0.1)
+    shared = passage(4, 120).split()
+    rows = [(i, " ".join([*(f"x{i}y{j}" for j in range(i % 7)), *shared, f"z{i}"]), "", "") for i in range(80)]
+    found = sorted((r["doc_id"], r["first_word"], r["end_word"], r["origin_id"]) for r in substring.passages(make(rows)).collect())
+    assert found == [(i, i % 7, i % 7 + 120, 0) for i in range(1, 80)]
+
+
+def test_exact_passages_equal_brute_force(make):
+    """Shared passages between foreign words: all places but one are found, whole, and nothing else."""
+    rng = random.Random(9)
+    parts = [[f"s{k}w{i}" for i in range(rng.choice([45, 50, 64, 130]))] for k in range(12)]
+    rows, held = [], {}
+    for d in range(40):
+        words = []
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(12)
+            words += [f"d{d}x{len(words) + i}" for i in range(rng.choice([25, 60, 200]))]
+            held.setdefault(k, []).append((d, len(words), len(words) + len(parts[k])))
+            words += parts[k]
+        rows.append((d, " ".join([*words, *(f"d{d}e{i}" for i in range(30))]), "", ""))
+    found = {}
+    for r in substring.passages(make(rows)).collect():
+        found.setdefault((r["doc_id"], r["first_word"], r["end_word"]), r)
+    expected = {}
+    for k, places in held.items():
+        documents = sorted({d for d, _, _ in places})
+        # Copies are all places in documents but the first one's, whose further places are copies of the last one's.
+        if len(parts[k]) >= substring.WORDS:
+            expected |= {place: documents[0] for place in places if place[0] != documents[0]}
+            if len(documents) > 2:
+                expected |= {place: documents[-1] for place in places if place[0] == documents[0]}
+                del expected[min(places)]
+    assert set(found) == set(expected)
+    assert all(found[p]["origin_id"] == first for p, first in expected.items())
