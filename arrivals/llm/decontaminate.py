@@ -4,7 +4,7 @@ The normalised words of all benchmark items make one automaton. The words of a d
 it: the state and the length of the longest suffix that occurs in an item are known at every word.
 Where that length reaches a window (`WINDOW` words, or a whole item of fewer), its words are
 hit. Hit words make spans; spans that are long enough, or a document that is hit enough,
-are removed.
+are removed. A whole short item is a span whatever its length.
 
 Texts are read once and do not move. An automaton is broadcast; it holds at most BLOCK_WORDS words of
 items, so its size is bounded. More items make several automata, each of them a pass over
@@ -34,7 +34,7 @@ SPAN_WORDS, COVERAGE = 10, 0.0
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-FOUND = "n_words bigint, spans array<struct<first:int,stop:int>>, items array<string>"
+FOUND = "n_words bigint, spans array<struct<first:int,stop:int,short:boolean>>, items array<string>"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -141,7 +141,12 @@ class Automaton:
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Spans of hit words, merged and in order, and the items whose windows occur."""
-        spans: list[list[int]] = []
+        spans, items = self.search(words)
+        return [(first, stop) for first, stop, _ in spans], items
+
+    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int, bool]], set[str]]:
+        """As `find`; of each span also if it holds a whole item that is shorter than a window."""
+        spans: list[tuple[int, int, bool]] = []
         items: set[str] = set()
         least, known = self.least, self.vocabulary.get
         at = 0
@@ -150,12 +155,14 @@ class Automaton:
             if length >= least[state]:
                 ended = [(size, found) for size, found in self.ends[state] if size <= length]
                 first = at - max(size for size, _ in ended)
+                short = any(size < self.window for size, _ in ended)
                 while spans and spans[-1][1] >= first:
-                    first = min(first, spans.pop()[0])
-                spans.append([first, at])
+                    before = spans.pop()
+                    first, short = min(first, before[0]), short or before[2]
+                spans.append((first, at, short))
                 for _, found in ended:
                     items.update(found)
-        return [tuple(s) for s in spans], items
+        return spans, items
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, list[bytes]]]]:
@@ -185,8 +192,8 @@ def find_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows = []
             for text in texts:
                 words = words_of(text)
-                spans, items = automaton.value.find(words)
-                rows.append((len(words), [{"first": a, "stop": b} for a, b in spans], sorted(items)))
+                spans, items = automaton.value.search(words)
+                rows.append((len(words), [{"first": a, "stop": b, "short": c} for a, b, c in spans], sorted(items)))
             return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
 
         return df.withColumn("found", found(F.col("text").cast("binary"))).select(*df.columns, "found.*")
@@ -213,7 +220,7 @@ def merged(spans: Column) -> Column:
         end = F.element_at(done, -1)
         joined = F.concat(
             F.slice(done, 1, F.size(done) - 1),
-            F.array(F.struct(end["first"].alias("first"), F.greatest(end["stop"], s["stop"]).alias("stop"))),
+            F.array(F.struct(end["first"].alias("first"), F.greatest(end["stop"], s["stop"]).alias("stop"), (end["short"] | s["short"]).alias("short"))),
         )
         return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] >= s["first"]), joined).otherwise(
             F.concat(done, F.array(s))
@@ -229,13 +236,14 @@ def hit_words() -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span_words: int = SPAN_WORDS, coverage: float = COVERAGE) -> DataFrame:
     """`docs` without what benchmark items occur in.
 
-    A document goes if more than `coverage` of its words are in hit spans of `span_words` or more. With
+    A document goes if more than `coverage` of its words are in hit spans of `span_words` or more, or in spans that
+    hold a whole item of fewer words than a window. With
     coverage=1 none goes; the spans are cut out of the texts instead, from the first letter of a
     span's first word to the last one of its last word. The columns stay.
     """
     whole = fresh(docs, "whole")
     found = find_spans(docs.select(F.struct(*docs.columns).alias(whole), "text", "doc_id"), benchmark)
-    counted = F.filter("spans", lambda s: s["stop"] - s["first"] >= span_words)
+    counted = F.filter("spans", lambda s: (s["stop"] - s["first"] >= span_words) | s["short"])
     found = found.withColumn("spans", counted)
     kept = found.filter(hit_words() <= F.lit(coverage) * F.col("n_words"))
 

@@ -14,35 +14,60 @@ are all marked as kept. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import BLANKS, join_split, shared_folder, store, table, text_or_empty
 
 ROWS_PER_BUCKET = 2_000_000
+COLUMNS, ABOUT = "digest BINARY, keep_id BIGINT, chars INT", "buckets INT"
+
+
+class BadIndex(ValueError):
+    """There are digests at a path, but nothing says how they are stored."""
 
 
 @dataclass(frozen=True)
 class DigestIndex:
-    """A table of (digest, keep_id, chars) in `buckets` files sets, at a path that outlives the session."""
+    """A table of (digest, keep_id, chars), bucketed and sorted by digest, at a path that outlives the session.
+
+    How many buckets it has is decided once, when it is made, and stored beside it, at `path`_about. It is
+    entered in the session's catalogue, which bucketed tables need, while it is open.
+    """
 
     spark: SparkSession
     path: str
     buckets: int
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, buckets: int) -> DigestIndex:
+        """The index at `path`, made with so many buckets if there is none; one that is there keeps its own."""
+        about = f"{path}_about"
+        if _stored(spark, about, ABOUT):
+            buckets = spark.read.schema(ABOUT).parquet(about).first()["buckets"]
+        elif _stored(spark, path, COLUMNS):
+            raise BadIndex(f"{path} holds digests, but {about} does not say in how many buckets")
+        else:
+            spark.createDataFrame([(buckets,)], ABOUT).coalesce(1).write.mode("overwrite").parquet(about)
+        index = cls(spark, path, buckets)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {index.name} ({COLUMNS}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        return index
+
+    def close(self) -> None:
+        """Take the table out of the catalogue; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     @property
     def name(self) -> str:
-        return "digests_" + "".join(c if c.isalnum() else "_" for c in self.path.rsplit("/", 2)[-2])
-
-    def open(self) -> DigestIndex:
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, chars INT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
-        )
-        return self
+        return "digests_" + hashlib.sha256(self.path.encode()).hexdigest()[:32]
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -57,6 +82,15 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
+def _stored(spark: SparkSession, path: str, schema: str) -> bool:
+    try:
+        return not spark.read.schema(schema).parquet(path).isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """Id, digest and length of each text."""
     bare = F.translate(text_or_empty(), BLANKS, "")
@@ -67,23 +101,25 @@ def dedup(docs: DataFrame, index_path: str | None = None, buckets: int | None =
     """Add `docs` to the index and tell for each row which document stays for it.
 
     Returns doc_id, keep_id, group_size (rows of this batch with that digest), kept, text_sha256.
-    `index_path` may hold an index of earlier batches, with the same number of buckets; without
-    one, a new index is made in the shared folder.
+    `index_path` may hold an index of earlier batches, which keeps its number of buckets; without
+    one, a new index is made in the shared folder, with `buckets` or as many as this batch needs.
     """
     spark = docs.sparkSession
     rows = store(digests(docs))
     total = rows.count()
-    index = DigestIndex(
-        spark, index_path or f"{shared_folder(spark)}/index", buckets or max(16, math.ceil(total / ROWS_PER_BUCKET))
-    ).open()
+    path = index_path or f"{shared_folder(spark)}/index"
+    index = DigestIndex.open(spark, path, buckets or max(16, math.ceil(total / ROWS_PER_BUCKET)))
     best = F.min(F.struct((-F.col("chars")).alias("longest"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
     groups = store(
         rows.groupBy("digest")
         .agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
         .select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.longest")).alias("chars"), "group_size")
     )
-    index.append(groups)
-    stay = store(groups.select("digest", "group_size").join(index.rows().select("digest", "keep_id").hint("merge"), "digest"))
+    try:
+        index.append(groups)
+        stay = store(groups.select("digest", "group_size").join(index.rows().select("digest", "keep_id").hint("merge"), "digest"))
+    finally:
+        index.close()
     return join_split(rows, stay, ["digest"], "group_size", total).select(
         "doc_id",
         "keep_id",

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import fresh, join_split, row_key, store, table
+from arrivals.llm.common import join_split, row_key, store, table
 from arrivals.llm.components import components
 from arrivals.llm.hashing import mix, sequences, words_hashed
 
@@ -238,10 +238,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents kept, one of each component, with the columns of `docs`."""
-    gone = near_duplicates(docs, k, percent).filter(~F.col("kept"))
-    drop = fresh(docs, "dropped_id")
-    return docs.join(gone.select(F.col("doc_id").alias(drop)).distinct(), F.col("doc_id") == F.col(drop), "left_anti")
+    """One document of each group of near duplicates, with the columns of `docs`: that of the least id, a null one last.
+
+    Every row is a document of its own here, repeated rows and those with null or equal ids too; of equal
+    ones any one stays. The rows are stored with a number, which names them.
+    """
+    numbered = store(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")))
+    found = near_duplicates(numbered.select(F.col("row").alias("doc_id"), F.col("whole.text").alias("text")), k, percent)
+    ids = numbered.select("row", F.col("whole.doc_id").alias("own"))
+    least = F.min(F.struct(F.col("own").isNull().alias("no_id"), "own", "row")).alias("least")
+    best = found.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row").groupBy("component_id").agg(least)
+    return numbered.join(best.select("least.row"), "row", "left_semi").select("whole.*")
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

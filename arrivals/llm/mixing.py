@@ -66,7 +66,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
     )
 
 
-def _running(rows: DataFrame, group: list[str], bucket: str, order: list[str], out: str) -> DataFrame:
+def _running(rows: DataFrame, group: list[str], bucket: str, order: list[str | Column], out: str) -> DataFrame:
     """Add `out`: the sum of `size` over a group, in its order, up to and with the row. Buckets follow the order."""
     before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -88,7 +88,7 @@ def plan(sized: DataFrame, rows: int, weights: tuple[int, ...] = WEIGHTS, budget
 
     A unit is (round, place); `last_round` and `last_place` are null if the source sends none.
     """
-    goals = store(targets(sized.withColumn("source", F.struct("source")), weights, budget, rounds))
+    goals = store(targets(sized, weights, budget, rounds).withColumn("source", F.struct("source")))
     buckets = max(16, math.ceil(rows / BUCKET_ROWS))
     # A null source joins like any other as a struct that holds it.
     first_digits = F.conv(F.substring("place", 1, 8), 16, 10).cast("bigint")
@@ -107,7 +107,7 @@ def plan(sized: DataFrame, rows: int, weights: tuple[int, ...] = WEIGHTS, budget
         .withColumn("slot", (F.col("finish") / (1 + F.col("finish")) * 2 * buckets).cast("bigint"))
         .select("source", "round", "place", "size", "finish", "slot")
     )
-    queued = _running(queued, [], "slot", ["finish", "source", "round", "place"], "total")
+    queued = _running(queued, [], "slot", ["finish", F.col("source.source").asc_nulls_last(), "round", "place"], "total")
     words = goals.agg(F.sum("source_size")).first()[0] or 0
     last = (
         queued.filter(F.col("total") <= budget * words)
@@ -174,15 +174,16 @@ SQL = {
                    least(cap::DOUBLE, max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight) AS target
             FROM l
         ), q AS (
-            SELECT source, round, place, size,
-                   (round * source_size + sum(size) OVER (PARTITION BY source, round ORDER BY place)) / target AS finish
-            FROM d JOIN t USING (source), (VALUES (0), (1)) r(round) WHERE size > 0
+            SELECT t.source, round, place, size,
+                   (round * source_size + sum(size) OVER (PARTITION BY t.source, round ORDER BY place)) / target AS finish
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1)) r(round) WHERE size > 0
         ), m AS (
-            SELECT *, sum(size) OVER (ORDER BY finish, source, round, place ROWS UNBOUNDED PRECEDING) AS total FROM q
+            SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, round, place ROWS UNBOUNDED PRECEDING) AS total FROM q
         ), c AS (
             SELECT source, place, count(*) AS copies FROM m
             WHERE total <= 1.5::DOUBLE * (SELECT sum(source_size) FROM t) GROUP BY source, place
         )
         SELECT doc_id, size, source_size, target, (size * coalesce(copies, 0))::BIGINT AS taken
-        FROM d JOIN t USING (source) LEFT JOIN c USING (source, place)"""
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        LEFT JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.place = c.place"""
 }

@@ -400,3 +400,60 @@ def test_exact_passages_equal_brute_force(make):
                 del expected[min(places)]
     assert set(found) == set(expected)
     assert all(found[p]["origin_id"] == first for p, first in expected.items())
+
+
+def test_mix_with_a_null_source(spark, make, tmp_path):
+    """Equal sources: the null one comes last, with the third weight."""
+    duckdb = pytest.importorskip("duckdb")
+    docs = make([(i, passage(i, 22), "en", [None, "a", "b"][i % 3]) for i in range(30)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = mixing.op2_mixing(spark, str(tmp_path))
+    targets = {r["source"]: r["target"] for r in found.join(docs.select("doc_id", "source"), "doc_id").collect()}
+    # Of 990 words the level would give a 495 (its bound is 440); b and the null source share the rest 1 to 2.
+    assert targets == {"a": 440.0, "b": pytest.approx(550 / 3), None: pytest.approx(1100 / 3)}
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    said = connection.execute(mixing.SQL["op2_mixing"])
+    order = [[c[0] for c in said.description].index(c) for c in found.columns]
+    expected = sorted(repr(tuple(r[i] for i in order)) for r in said.fetchall())
+    assert len(expected) == 30 and sorted(repr(tuple(r)) for r in found.collect()) == expected
+
+
+def test_exact_index_keeps_its_buckets_and_its_name(spark, make, tmp_path):
+    """Three batches of 2,000 rows into one index, opened with other numbers of buckets; and one of a like name."""
+    path = f"file://{tmp_path}/A/corpus/index"
+    seen = {}
+    for batch, buckets in enumerate((4, 8, None)):
+        rows = [(batch * 10_000 + i, f"text {(batch * 1_000 + i) % 4_500}", "", "") for i in range(2_000)]
+        got = {r["doc_id"]: r for r in exactdedup.dedup(make(rows), path, buckets).collect()}
+        for doc_id, text, *_ in rows:
+            seen.setdefault(text, doc_id)
+            assert (got[doc_id]["keep_id"], got[doc_id]["kept"]) == (seen[text], seen[text] == doc_id)
+    assert spark.read.parquet(path).count() == len(seen) == 4_000
+    other = exactdedup.dedup(make([(77, "text 1", "", "")]), f"file://{tmp_path}/B/corpus/index").collect()
+    assert [r["keep_id"] for r in other] == [77]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("digests_")]
+    spark.createDataFrame([(b"x", 1, 1)], exactdedup.COLUMNS).write.parquet(f"file://{tmp_path}/C/index")
+    with pytest.raises(exactdedup.BadIndex):
+        exactdedup.dedup(make([(1, "a", "", "")]), f"file://{tmp_path}/C/index")
+
+
+def test_one_row_stays_whatever_its_id(make):
+    text = passage(1, 40)
+    rows = [(None, text, "en", "a"), (7, text, "en", "a"), (7, text, "en", "a"), (None, text + " end", "en", "a"), (9, None, "", ""), (None, "", "", ""), (None, passage(9, 30), "", "")]
+    docs = make(rows)
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((repr(r["doc_id"]), repr(r["text"])) for r in kept.collect()) == sorted(
+        (repr(i), repr(t)) for i, t in ((7, text), (9, None), (None, ""), (None, passage(9, 30)))
+    )
+
+
+def test_a_whole_short_item_removes_its_document(make, spark, monkeypatch):
+    items = spark.createDataFrame([(1, "Only three words"), (2, passage(1, 12)), (3, passage(5, 30))], "item_id bigint, text string")
+    docs = make([(1, "here are only THREE words, and more", "", ""), (2, "only three", "", ""), (3, f"a {passage(1, 12)} b", "", ""), (4, passage(2, 50), "", "")])
+    for block in (100_000, 15):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+        assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()) == [2, 4]
+        cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items, coverage=1.0).collect()}
+        assert cut[1] == "here are , and more" and cut[3] == "a  b"
