@@ -3,7 +3,10 @@
 A text is a vector of letter trigrams (hashed bytes of the lower-cased words, blanks between them)
 weighted by TF-IDF and of length 1. Each language has several centroids, found by spherical
 k-means among its labelled texts; a text gets the language of the centroid with the
-largest cosine, and is rejected if even that is below `REJECT`.
+largest cosine, and is rejected if even that is below a limit, learned for each centroid and length of text:
+LENIENCE times the cosine that all but QUANTILE of the sample's texts of that length reach, where texts of each length are
+pieces of the sample's. So a text is rejected that is much farther from all centroids than any text
+learned from, and short texts, which are far from all, are measured by short ones.
 
 Document frequencies are counted over all labelled training texts. The centroids are fitted on a bounded
 sample: of each language about SAMPLE texts, chosen by a hash of the id, and about SAMPLE_ALL in all.
@@ -32,7 +35,11 @@ BINS = 1 << 13
 CENTROIDS = 3
 SAMPLE, SAMPLE_ALL = 400, 20_000
 ITERATIONS = 10
-REJECT = 0.02
+# Limits of rejection: a low quantile of the sample's cosines, and the share of it that suffices. Words of the pieces
+# that stand for short texts, and where a class of lengths, in trigrams, ends.
+QUANTILE, LENIENCE = 0.01, 0.6
+PIECES = (4, 8, 16, 32, 64)
+LENGTHS = (12, 24, 48, 96, 192, 384)
 FOLDS, HELD_OUT = 5, 0
 BATCH = 256
 UNKNOWN = "und"
@@ -85,14 +92,45 @@ def centroids(rows: np.ndarray, k: int = CENTROIDS, iterations: int = ITERATIONS
     return centres
 
 
+def pieces(text: str, seed: int) -> list[str]:
+    """A piece of each length of PIECES from anywhere in a text, as far as it has more words than that."""
+    words = text.split()
+    starts = np.random.default_rng(seed).random(len(PIECES))
+    return [" ".join(words[(at := int(share * (len(words) - n))) : at + n]) for n, share in zip(PIECES, starts, strict=True) if len(words) > n]
+
+
+def limits(of: np.ndarray, cosine: np.ndarray, sizes: np.ndarray, centres: int) -> np.ndarray:
+    """The least cosine to accept, for each centroid and class of lengths.
+
+    `of` is the centroid of each sample, `sizes` its number of trigrams. A class without samples has the limit of the next
+    shorter one that has some, and 0 if there is none: nothing is then known against a text.
+    """
+    out = np.zeros((centres, len(LENGTHS) + 1), np.float32)
+    classes = np.searchsorted(LENGTHS, sizes, "right")
+    for c in range(centres):
+        for length in range(len(LENGTHS) + 1):
+            own = cosine[(of == c) & (classes == length)]
+            if len(own):
+                out[c, length] = LENIENCE * np.quantile(own, QUANTILE)
+            elif length:
+                out[c, length] = out[c, length - 1]
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]  # of each centroid
     centres: np.ndarray
     idf: np.ndarray
+    limits: np.ndarray  # of each centroid and class of lengths
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        names, scores = [], np.zeros(len(texts))
+        names, scores, _ = self.judge(texts)
+        return names, scores
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, cosines, and whether the texts are rejected."""
+        names, scores, rejected = [], np.zeros(len(texts)), np.ones(len(texts), bool)
         for at in range(0, len(texts), BATCH):
             some = texts[at : at + BATCH]
             if not self.languages:
@@ -100,10 +138,14 @@ class Model:
                 continue
             cosine = np.clip(vectors(some, self.idf) @ self.centres.T, 0, 1)
             best = np.argmax(cosine, axis=1)
+            # Bytes stand for trigrams: there is one for each, but for blanks in a row.
+            sizes = np.array([len(t.encode("utf-8", "replace")) if t else 0 for t in some])
+            limit = self.limits[best, np.searchsorted(LENGTHS, sizes, "right")]
             spoken = [bool(t and _LETTER.search(t)) for t in some]
             names += [self.languages[i] if s else UNKNOWN for i, s in zip(best, spoken, strict=True)]
             scores[at : at + len(some)] = np.where(spoken, cosine[np.arange(len(some)), best], 0)
-        return names, scores
+            rejected[at : at + len(some)] = (scores[at : at + len(some)] < limit) | ~np.array(spoken, bool)
+        return names, scores, rejected
 
 
 def train(docs: DataFrame) -> Model:
@@ -111,7 +153,7 @@ def train(docs: DataFrame) -> Model:
     labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out()).select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
-        return Model([], np.zeros((0, BINS), np.float32), np.ones(BINS, np.float32))
+        return Model([], np.zeros((0, BINS), np.float32), np.ones(BINS, np.float32), np.zeros((0, len(LENGTHS) + 1), np.float32))
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BINS, np.int64)
@@ -130,38 +172,57 @@ def train(docs: DataFrame) -> Model:
     each = min(SAMPLE, SAMPLE_ALL // len(sizes))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(each / n))])
-    drawn = labelled.filter(draw < share[F.col("lang")]).select("lang", "text")
+    drawn = labelled.filter(draw < share[F.col("lang")]).select("lang", "doc_id", "text")
 
     def bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [np.unique(trigrams(t), return_counts=True) for t in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "bins": [f[0] for f in found], "counts": [f[1] for f in found]})
+            rows = []
+            for lang, doc_id, text in zip(batch["lang"], batch["doc_id"], batch["text"], strict=True):
+                for n, t in enumerate([text, *(pieces(text, int(doc_id) & (1 << 62) - 1) if text else [])]):
+                    size = len(t.encode("utf-8", "replace")) if t else 0
+                    rows.append((lang, n > 0, size, *np.unique(trigrams(t), return_counts=True)))
+            yield pd.DataFrame(rows, columns=["lang", "piece", "size", "bins", "counts"])
+
+    # About SAMPLE_ALL texts and their pieces, as trigrams.
+    rows = drawn.mapInPandas(bins, "lang string, piece boolean, size int, bins array<int>, counts array<int>").toPandas()
+
+    def weighted(own: pd.DataFrame) -> np.ndarray:
+        matrix = np.zeros((len(own), BINS), np.float32)
+        for row, at, n in zip(matrix, own["bins"], own["counts"], strict=True):
+            row[np.asarray(at, np.int64)] = (1 + np.log(np.asarray(n))) * idf[np.asarray(at, np.int64)]
+        norm = np.linalg.norm(matrix, axis=1)
+        return matrix / np.where(norm > 0, norm, 1)[:, None]
 
-    rows = drawn.mapInPandas(bins, "lang string, bins array<int>, counts array<int>").toPandas()
     languages: list[str] = []
     centres: list[np.ndarray] = []
+    bounds: list[np.ndarray] = []
     for lang, own in sorted(rows.groupby("lang")):
-        own = sorted(zip(own["bins"].map(tuple), own["counts"].map(tuple), strict=True))  # whatever order they came in
-        matrix = np.zeros((len(own), BINS), np.float32)
-        for row, (at, n) in zip(matrix, own, strict=True):
-            row[list(at)] = (1 + np.log(np.array(n))) * idf[list(at)]
-        norm = np.linalg.norm(matrix, axis=1)
-        matrix = matrix[norm > 0] / norm[norm > 0, None]
-        if len(matrix):
-            centres.append(centroids(matrix))
+        # Whatever order they came in.
+        own = own.assign(order=[(tuple(a), tuple(b)) for a, b in zip(own["bins"], own["counts"], strict=True)])
+        own = own[own["bins"].map(len) > 0].sort_values(["piece", "order"])
+        whole = weighted(own[~own["piece"]])
+        if len(whole):
+            centres.append(centroids(whole))
             languages += [lang] * len(centres[-1])
-    stacked = np.concatenate(centres).astype(np.float32) if centres else np.zeros((0, BINS), np.float32)
-    return Model(languages, stacked, idf.astype(np.float32))
+            of, cosine = [], []
+            for at in range(0, len(own), BATCH):
+                near = weighted(own.iloc[at : at + BATCH]) @ centres[-1].T
+                of.append(near.argmax(axis=1))
+                cosine.append(near.max(axis=1))
+            bounds.append(limits(np.concatenate(of), np.concatenate(cosine), own["size"].to_numpy(), len(centres[-1])))
+    if not centres:
+        return Model([], np.zeros((0, BINS), np.float32), np.ones(BINS, np.float32), np.zeros((0, len(LENGTHS) + 1), np.float32))
+    return Model(languages, np.concatenate(centres).astype(np.float32), idf.astype(np.float32), np.concatenate(bounds))
 
 
 def predict(docs: DataFrame, model: Model, out: str = "language") -> DataFrame:
-    """`docs` with a column `out` of (lang_pred, score, rejected)."""
+    """`docs` with a column `out` (with underscores before if there is one) of (lang_pred, score, rejected)."""
+    out = fresh(docs, out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
-        names, scores = shared.value.predict([t if isinstance(t, str) else None for t in texts])
-        rejected = [n == UNKNOWN or s < REJECT for n, s in zip(names, scores, strict=True)]
+        names, scores, rejected = shared.value.judge([t if isinstance(t, str) else None for t in texts])
         return pd.DataFrame({"lang_pred": names, "score": scores, "rejected": rejected})
 
     return docs.withColumn(out, nearest("text"))

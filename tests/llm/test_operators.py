@@ -287,7 +287,45 @@ def test_language_held_out(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "lang")
     found = language.op5_language(spark, tables).join(docs, "doc_id").filter("held_out").toPandas()
     assert (found["lang_pred"] == found["lang"]).mean() > 0.97
-    assert not found["rejected"].any()
+    assert found["rejected"].mean() < 0.01
+
+
+UNLEARNED = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı",
+    "4f6a 90bc d3e1 77aa c0de beef 1f2e 3d4c 5b6a 7988 a7b6 c5d4 e3f2 0a1b 2c3d 4e5f deadbeef cafebabe 8badf00d",
+    "for (int i = 0; i < n; ++i) { buf[i] = xs[i] ^ key[i % klen]; } return memcpy(dst, buf, n) != NULL ? 0 : -1;",
+    "xq zvk jwpf qqrt bnmx zzkw vvxj qpwk jjzx kkqv wwxz ptkq zxcvb qwrtp mnbvc lkjhg fdsqz xwvkj qzjxk vbnmq",
+]
+
+
+def test_unlearned_languages_are_rejected_and_short_texts_are_not(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    model = language.train(docs)
+    _, scores, rejected = model.judge(UNLEARNED + [None, "", "12 34", "1999!"])
+    assert rejected.all(), scores
+    clean = [r["text"].split() for r in docs.filter(language.held_out()).filter("length(text) > 400").limit(60).collect()]
+    for words in (3, 6, 12, 24, 48):
+        short = [" ".join(w[i : i + words]) for w in clean for i in (5, 30)]
+        assert model.judge(short)[2].mean() <= 0.05, words
+
+
+def test_nearest_centroid_equals_a_plain_loop(spark, tables):
+    """Cosines of sparse vectors in plain Python give the scores and languages of the model."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    model = language.train(docs)
+    found = language.op5_language(spark, tables).toPandas().set_index("doc_id")
+    for r in docs.orderBy("doc_id").limit(40).collect():
+        counts = {}
+        for t in language.trigrams(r["text"]).tolist():
+            counts[t] = counts.get(t, 0) + 1
+        vector = {t: (1 + np.log(n)) * float(model.idf[t]) for t, n in counts.items()}
+        norm = sum(v * v for v in vector.values()) ** 0.5
+        cosines = [sum(v / norm * float(c[t]) for t, v in vector.items()) for c in model.centres]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert found.loc[r["doc_id"], "score"] == pytest.approx(min(1, max(0, cosines[best])), abs=1e-4)
+        assert found.loc[r["doc_id"], "lang_pred"] == model.languages[best]
 
 
 def test_quality_held_out(spark, tables):
