@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,14 +35,18 @@ def _directory(keys: list[str]) -> Column:
     return F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit(NO_VALUE))) for k in keys])
 
 
+def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """A path, and the file system that it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def publications(spark: SparkSession, path: str) -> DataFrame:
     """Every publication of every slice: publication, version, slice, rows."""
-    try:
-        return spark.read.schema(PUBLICATIONS).parquet(f"{path}_published")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    listed, files = _folder(spark, f"{path}_published")
+    if not files.exists(listed):
         return spark.createDataFrame([], PUBLICATIONS)
+    return spark.read.schema(PUBLICATIONS).parquet(f"{path}_published")
 
 
 def published(spark: SparkSession, path: str) -> dict[str, str]:
@@ -119,8 +123,7 @@ def remove_replaced(spark: SparkSession, path: str, layouts: dict[str, list[str]
     valid = set(published(spark, path).values())
     removed = set()
     for layout in layouts:
-        root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}{layout}")
-        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        root, files = _folder(spark, f"{path}{layout}")
         for entry in files.listStatus(root) if files.exists(root) else []:
             name = entry.getPath().getName()
             if name.startswith("version=") and name.removeprefix("version=") not in valid:
