@@ -44,9 +44,9 @@ _NUMBER = re.compile(
     r"""(?<![\w.+-])(?:
         (?P<account>[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,4})?)(?!\w)
       | (?P<address>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\w]|\.\d)
-      | (?P<date>(?:\d{4}(?P<mark>[-/.])\d{1,2}(?P=mark)\d{1,2}|\d{1,2}(?P<sign>[-/.])\d{1,2}(?P=sign)\d{4}))(?![\w]|[-/]\d)
+      | (?P<date>(?:\d{4}(?P<mark>[-/.])\d{1,2}(?P=mark)\d{1,2}|\d{1,2}(?P<sign>[-/.])\d{1,2}(?P=sign)\d{4}))(?:(?=T\d\d)|(?![\w]|[-/]\d))
       | (?P<social>\d{3}-\d{2}-\d{4})(?![\w-])
-      | (?P<card>\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{13,19})(?!\w|[-]\d)
+      | (?P<card>\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}(?P<space>[ -])\d{6}(?P=space)\d{5}|\d{13,19})(?!\w|[-]\d)
       | (?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w|[-]\d)
     )""",
     re.VERBOSE | re.ASCII,
@@ -221,9 +221,27 @@ class Pseudonyms:
             text = _MAIL.sub(lambda m: put("mail", m[0]), text)
         if text and _HAS_DIGIT(text):
             text = _SECRET.sub(lambda m: put("secret", m[0]), text)
-            text = _NUMBER.sub(lambda m: put(m.lastgroup, m[0]), text)
+            text = self._numbers(text, kinds)
         return text, kinds
 
+    def _numbers(self, text: str, kinds: list[str]) -> str:
+        """Numbers and dates, from left to right; what is not valid as one kind may hold one of another."""
+        out, at, search = [], 0, 0
+        while m := _NUMBER.search(text, search):
+            kind, found = m.lastgroup, m[0]
+            new = self.pseudonym(kind, found)
+            while new is None and kind == "account" and " " in found:
+                # Words in capitals, or numbers, may follow an account number.
+                found = found[: found.rindex(" ")]
+                new = self.pseudonym(kind, found)
+            if new is None:
+                search = m.start() + 1
+                continue
+            out += [text[at : m.start()], new]
+            at = search = m.start() + len(found)
+            kinds.append(kind)
+        return "".join([*out, text[at:]])
+
 
 _HAS_DIGIT = re.compile("[0-9]").search
 

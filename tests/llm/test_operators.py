@@ -495,3 +495,50 @@ def test_a_whole_short_item_removes_its_document(make, spark, monkeypatch):
         assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()) == [2, 4]
         cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items, coverage=1.0).collect()}
         assert cut[1] == "here are , and more" and cut[3] == "a  b"
+
+
+@pytest.mark.parametrize(
+    "text, left",
+    [
+        ("AT61 1904 3002 3457 3201 BIC", " BIC"),
+        ("AT61 1904 3002 3457 3201 2024", " 2024"),
+        ("DE89 3704 0044 0532 0130 00 OK", " OK"),
+        ("2024-02-29T10:00", "T10:00"),
+        ("3782 822463 10005", ""),
+        ("3782-822463-10005.", "."),
+    ],
+)
+def test_values_before_other_words(text, left):
+    one, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", reveal=True)
+    new, kinds = one.rewrite(f"x {text} y")
+    value = text.removesuffix(left) if left else text
+    assert len(kinds) == 1 and value not in new and new.endswith(f"{left} y") and len(new) == len(text) + 4
+    # The same value alone has the same pseudonym, and both can be turned back.
+    assert one.rewrite(value)[0] == new[2 : 2 + len(value)]
+    assert back.rewrite(new)[0] == f"x {text} y"
+
+
+def test_near_copies_are_found_by_their_likeness():
+    """README has more of these figures."""
+    rng = np.random.default_rng(1)
+
+    def words(n):
+        return rng.integers(0, 1 << 63, n).astype(np.uint64)
+
+    def found(n, changed):
+        copy = (passage := words(n)).copy()
+        copy[rng.choice(n, round(n * changed), replace=False)] = words(round(n * changed))
+        x, y = np.concatenate([words(80), passage, words(80)]), np.concatenate([words(120), copy, words(60)])
+        places, hashes = substring.seeds(x)
+        other = {h: p for p, h in zip(*substring.seeds(y), strict=True)}
+        matches = sorted((int(i), int(other[h][0])) for p, h in zip(places, hashes, strict=True) if h in other for i in p)
+        spans = [
+            (min(b, 80 + n) - max(a, 80)) / n
+            for path in substring.chain(matches)
+            if path[-1][0] + substring.SEED - path[0][0] >= substring.WORDS // 2
+            for a, b, *_ in substring.align(x, y, path)
+        ]
+        return max(spans, default=0) >= 0.8
+
+    for n, changed, least in ((60, 0.05, 0.9), (100, 0.1, 0.9), (200, 0.1, 0.9), (100, 0.15, 0.75), (200, 0.15, 0.75)):
+        assert np.mean([found(n, changed) for _ in range(80)]) >= least, (n, changed)
