@@ -3,8 +3,11 @@
 Numbers and dates that are valid in their format (and the digits and letters of mail addresses and
 keys) are permuted by a keyed Feistel network over exactly the values of that format: a card number
 becomes another of the same length and with the same grouping, whose check digit holds if it held
-before; a date becomes another date. Equal values, however they are spaced, get equal pseudonyms in
-every document, and with the key the permutation can be turned back (`reveal=True`).
+before; a date becomes another date. Equal values, however they are spelled (blanks, marks, a phone's country
+apart or not, the order of a date), get equal pseudonyms in
+every document, and with the key the permutation can be turned back (`reveal=True`). So that a spelling
+still reads as it did, a date keeps whether its month and its day are below 10 and its day above 12, and a phone number
+of ten digits whether its parts begin with 2 to 9; a phone number keeps its country, a key its prefix.
 
 A network permutes the numbers below a power of its halves; a result that is no value of the format is
 permuted again until it is one (cycle walking), which again is a permutation.
@@ -13,12 +16,13 @@ Texts do not move; each is rewritten where it is.
 
 Defined cases: null and empty texts stay as they are; text outside the matches is not touched; what
 looks like a number but is not valid (a date of the 31st of February, an address part above 255) stays.
-An empty table gives an empty result.
+An empty table gives an empty result. Where `docs` has a column of the result's name, the result's gets underscores before it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 from datetime import date
 from functools import lru_cache
@@ -28,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import table
+from arrivals.llm.common import fresh, table
 
 FEISTEL_ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
@@ -40,14 +44,30 @@ _DIGITS, _LOWER, _ACCENTED = "0123456789", "abcdefghijklmnopqrstuvwxyz", "".join
 
 _MAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]+(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 _SECRET = re.compile(r"(?<![\w-])(?=[0-9a-fA-F]*\d)(?=\d*[a-fA-F])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w-])")
+# How keys of well-known services begin, and what may follow.
+_KEY = re.compile(
+    r"""(?<![\w-])(?:
+        (?P<prefix>AKIA|ASIA)[0-9A-Z]{16}
+      | (?P<hub>gh[oprsu]_)[0-9A-Za-z]{36,255}
+      | (?P<lab>glpat-)[0-9A-Za-z_-]{20,64}
+      | (?P<map>AIza)[0-9A-Za-z_-]{35}
+      | (?P<chat>xox[abprs]-)(?=[0-9A-Za-z-]*\d)[0-9A-Za-z-]{10,128}
+      | (?P<model>[ps]k[-_](?:live_|test_|proj-)?)(?=[0-9A-Za-z_-]*\d)[0-9A-Za-z_-]{20,255}
+    )(?![\w-])""",
+    re.VERBOSE | re.ASCII,
+)
+# Calling codes of one and of two digits; all others have three.
+_COUNTRY = re.compile(
+    "1|7|2[07]|3[0123469]|4[013456789]|5[12345678]|6[0123456]|8[1246]|9[0123458]"
+)
 _NUMBER = re.compile(
     r"""(?<![\w.+-])(?:
         (?P<account>[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,4})?)(?!\w)
       | (?P<address>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\w]|\.\d)
       | (?P<date>(?:\d{4}(?P<mark>[-/.])\d{1,2}(?P=mark)\d{1,2}|\d{1,2}(?P<sign>[-/.])\d{1,2}(?P=sign)\d{4}))(?:(?=T\d\d)|(?![\w]|[-/]\d))
-      | (?P<social>\d{3}-\d{2}-\d{4})(?![\w-])
+      | (?P<social>\d{3}-\d{2}-\d{4}(?![\w-])|(?<!\d\ )\d{3}\ \d{2}\ \d{4}(?!\w|[-]\d|\ \d))
       | (?P<card>\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}(?P<space>[ -])\d{6}(?P=space)\d{5}|\d{13,19})(?!\w|[-]\d)
-      | (?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w|[-]\d)
+      | (?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|(?<!\d\ )[2-9]\d\d\ [2-9]\d\d\ \d{4}(?!\ \d))(?!\w|[-]\d)
     )""",
     re.VERBOSE | re.ASCII,
 )
@@ -144,36 +164,62 @@ def _address(text: str, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, feistel(value, 1 << 32, key, "address", back).to_bytes(4, "big")))
 
 
+def _day_class(day: date) -> tuple[bool, bool, bool]:
+    """What spellings of a date depend on: digits of its month and day, and whether the day can be a month."""
+    return day.month < 10, day.day < 10, day.day > 12
+
+
+@lru_cache(1)
+def _days() -> dict[tuple[bool, bool, bool], list[int]]:
+    """All days by class, in ascending order."""
+    out: dict[tuple[bool, bool, bool], list[int]] = {}
+    for v in range(FIRST_DAY, LAST_DAY + 1):
+        out.setdefault(_day_class(date.fromordinal(v)), []).append(v)
+    return out
+
+
 def _date(text: str, key: bytes, back: bool) -> str | None:
     mark = next(c for c in text if not c.isdigit())
     parts = text.split(mark)
     numbers = [int(p) for p in parts]
     # Year first, or day first, or (if only that can be) month first.
     for order in ((0, 1, 2), (2, 1, 0), (2, 0, 1)):
-        year, month, day = (numbers[i] for i in order)
-        if len(parts[order[0]]) == 4:
-            try:
-                value = date(year, month, day).toordinal() - FIRST_DAY
-            except ValueError:
-                continue
-            if not 0 <= value <= LAST_DAY - FIRST_DAY:
-                continue
-
-            def spelled(v: int, order: tuple[int, int, int] = order) -> str:
-                day_of = date.fromordinal(v + FIRST_DAY)
-                new = [""] * 3
-                for i, n in zip(order, (day_of.year, day_of.month, day_of.day), strict=True):
-                    new[i] = str(n).zfill(4 if i == order[0] else 2)
-                return mark.join(new)
-
-            if order == (2, 0, 1):  # must still read month first
-                return spelled(_walk(value, LAST_DAY - FIRST_DAY + 1, key, "date", lambda v: date.fromordinal(v + FIRST_DAY).day > 12, back))
-            if order == (2, 1, 0):
-                return spelled(feistel(value, LAST_DAY - FIRST_DAY + 1, key, "date", back))
-            return spelled(feistel(value, LAST_DAY - FIRST_DAY + 1, key, "date", back))
+        if len(parts[order[0]]) != 4:
+            continue
+        try:
+            day = date(*(numbers[i] for i in order))
+        except ValueError:
+            continue
+        if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
+            continue
+        of_class = _day_class(day)
+        days = _days()[of_class]
+        kind = "date:" + "".join(str(int(c)) for c in of_class)
+        new = date.fromordinal(days[feistel(bisect_left(days, day.toordinal()), len(days), key, kind, back)])
+        spelled = [""] * 3
+        for i, n in zip(order, (new.year, new.month, new.day), strict=True):
+            spelled[i] = str(n).zfill(len(parts[i]))
+        return mark.join(spelled)
     return None
 
 
+def _phone(text: str, key: bytes, back: bool) -> str:
+    """The country stays; a number of country 1 is the same with and without it."""
+    digits = "".join(c for c in text if c.isdigit())
+    if not text.startswith("+"):
+        return _digits(text, key, "phone", back, _ten_digits)
+    country = _COUNTRY.match(digits)
+    fixed = country.end() if country else 3
+    if digits[0] == "1" and len(digits) == 11:
+        head = text.index("1") + 1
+        return text[:head] + _digits(text[head:], key, "phone", back, _ten_digits)
+    return _digits(text, key, "phone", back, fixed=fixed)
+
+
+def _ten_digits(d: str) -> bool:
+    return d[0] > "1" and d[3] > "1"
+
+
 def _social_valid(d: str) -> bool:
     return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
@@ -189,6 +235,8 @@ class Pseudonyms:
         key, back = self.key, self.back
         if kind == "mail":
             return _letters(text, key, kind, back, (_DIGITS, _LOWER, _ACCENTED))
+        if kind == "secret" and (m := _KEY.fullmatch(text)):
+            return m[m.lastgroup] + _letters(text[m.end(m.lastgroup) :], key, f"key:{m[m.lastgroup]}", back, (_DIGITS, _LOWER))
         if kind == "secret":
             new = _letters(text.lower(), key, kind, back, (_DIGITS + "abcdef",))
             return new.upper() if text.isupper() else new
@@ -199,12 +247,10 @@ class Pseudonyms:
         if kind == "date":
             return _date(text, key, back)
         if kind == "social":
-            return _digits(text, key, kind, back, _social_valid) if _social_valid(text.replace("-", "")) else None
+            return _digits(text, key, kind, back, _social_valid) if _social_valid(re.sub("[ -]", "", text)) else None
         if kind == "card":
             return _digits(text, key, kind, back, luhn)
-        # Of a phone number with + the country stays, up to the first mark or three digits.
-        country = re.match(r"\+(\d{1,3}?)(?=[ .(-])", text)
-        return _digits(text, key, kind, back, fixed=len(country[1]) if country else 0)
+        return _phone(text, key, back)
 
     def rewrite(self, text: str | None) -> tuple[str | None, list[str]]:
         """The text with pseudonyms, and the kind of each, mails and secrets first."""
@@ -220,6 +266,7 @@ class Pseudonyms:
         if text and "@" in text:
             text = _MAIL.sub(lambda m: put("mail", m[0]), text)
         if text and _HAS_DIGIT(text):
+            text = _KEY.sub(lambda m: put("secret", m[0]), text)
             text = _SECRET.sub(lambda m: put("secret", m[0]), text)
             text = self._numbers(text, kinds)
         return text, kinds
@@ -254,7 +301,7 @@ def pseudonymise(docs: DataFrame, key: bytes, out: str = "pseudonyms", reveal: b
         pseudonyms = Pseudonyms(key, reveal)
         return pd.DataFrame([pseudonyms.rewrite(t if isinstance(t, str) else None) for t in texts], columns=["text", "kinds"])
 
-    return docs.withColumn(out, rewrite("text"))
+    return docs.withColumn(fresh(docs, out), rewrite("text"))
 
 
 def _count(kind: str) -> Column:
