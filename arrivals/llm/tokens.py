@@ -210,17 +210,20 @@ def _frequent(symbols: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.nd
     is no longer `alive`: its pair can only get rarer until one of its symbols is replaced.
     """
     at = np.flatnonzero(alive)
-    code = (symbols[at].astype(np.uint64) << np.uint64(int(symbols.max()).bit_length())) | symbols[at + 1].astype(np.uint64)
-    bins = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
+    left, right = symbols.take(at).view(np.uint32), symbols[1:].take(at).view(np.uint32)
+    bins = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - BIN_BITS)
     often = (np.bincount(bins, minlength=1 << BIN_BITS) >= USES)[bins]
     alive[at[~often]] = False
-    code, at = _by_pair(code[often], at[often])
+    bits = np.uint64(int(symbols.max()).bit_length())
+    code, at = _by_pair((left[often].astype(np.uint64) << bits) | right[often], at[often])
     begins = np.concatenate([[True], code[1:] != code[:-1]])[: len(at)]
     # A symbol followed by itself is used every other time.
-    twice = np.flatnonzero(symbols[at] == symbols[at + 1])
-    used = np.ones(len(at), bool)
-    used[twice] = _alternate(at[twice])
-    at, begins = at[used], np.flatnonzero(begins[used])
+    twice = np.flatnonzero(code >> bits == code & ((np.uint64(1) << bits) - np.uint64(1)))
+    if len(twice):
+        used = np.ones(len(at), bool)
+        used[twice] = _alternate(at[twice])
+        at, begins = at[used], begins[used]
+    begins = np.flatnonzero(begins)
     return at, begins, np.diff(begins, append=len(at))
 
 
@@ -251,10 +254,10 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int) -> tuple[np.nda
                 rules.append((a, b))
         if len(rules) == before:
             break
-        of = np.repeat(rule_of, uses)
-        taken = np.flatnonzero(of >= 0)
-        at = places[taken]
-        symbols[at] = of[taken]
+        taken = np.flatnonzero(rule_of >= 0)
+        sizes = uses[taken]
+        at = places[np.arange(sizes.sum()) + np.repeat(begins[taken] + sizes - np.cumsum(sizes), sizes)]
+        symbols[at] = np.repeat(rule_of[taken], sizes)
         alive[at] = True
         alive[at[at > 0] - 1] = True
         gone = np.zeros(len(symbols), bool)
