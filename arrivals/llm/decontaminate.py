@@ -6,9 +6,12 @@ Where that length reaches a window (`WINDOW` words, or a whole item of fewer), i
 hit. Hit words make spans; spans that are long enough, or a document that is hit enough,
 are removed. A whole short item is a span whatever its length.
 
-Texts are read once and do not move. An automaton is broadcast; it holds at most BLOCK_WORDS words of
-items, so its size is bounded. More items make several automata, each of them a pass over
-all documents, whose findings are then put together.
+Texts are read once, whatever the size of the benchmark, and do not move. Items are cut into pieces that
+overlap by a word less than a window, so that each window is in one piece; pieces are dealt by hash into blocks
+of about BLOCK_WORDS words. Tasks build an automaton for each block and store it in the shared
+folder; Spark hands the files to its executors, as files, and the scanning tasks run each batch of texts through one
+automaton after the other. No text of an item passes through the driver's memory, and a task holds at most HELD automata.
+The files stay listed in the session until it ends.
 
 Defined cases: null and empty texts, and texts without words, have no words, hits or items. Items
 without words are ignored; an item without item_id is found but not listed. Repeated rows are treated
@@ -17,16 +20,25 @@ alike. An empty benchmark hits nothing; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
+from functools import lru_cache
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import fresh, row_key, table
+from arrivals.llm.common import fresh, store, table
 
 WINDOW = 10
-BLOCK_WORDS = 100_000
+# Words of a block, on average, and places where a window of a piece can begin.
+BLOCK_WORDS, PIECE_WORDS = 100_000, 2_000
+# Up to this number a worker keeps the automata; of more it reads one at a time for each batch of texts.
+HELD = 2
 # Limits of the removal: words of a span, and the share of a document's words that may be hit.
 SPAN_WORDS, COVERAGE = 10, 0.0
 
@@ -165,68 +177,90 @@ class Automaton:
         return spans, items
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Items with words, in blocks of at most BLOCK_WORDS words (a longer item is a block of its own)."""
-    block: list = []
-    held = 0
-    for row in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).toLocalIterator():
-        words = words_of(row[1])
-        if words and block and held + len(words) > BLOCK_WORDS:
-            yield block
-            block, held = [], 0
-        if words:
-            block.append((row[0], words))
-            held += len(words)
-    yield block
+def _pieces(benchmark: DataFrame) -> DataFrame:
+    """item, words (joined by blanks) and n: items with words, long ones in overlapping pieces, equal pieces once. Stored."""
+    step, overlap = PIECE_WORDS, WINDOW - 1
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch["item"], batch["text"], strict=True):
+                words = words_of(text)
+                for at in range(0, max(len(words) - overlap, 1), step):
+                    if piece := words[at : at + step + overlap]:
+                        rows.append((item, b" ".join(piece), len(piece)))
+            yield pd.DataFrame(rows, columns=["item", "words", "n"])
 
-def find_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`docs` (whose columns must not be named like these) with n_words, spans of hit words, and items."""
-    spark = docs.sparkSession
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).distinct()
+    return store(items.mapInPandas(cut, "item string, words binary, n bigint").distinct())
 
-    def search(block: list, df: DataFrame) -> DataFrame:
-        automaton = spark.sparkContext.broadcast(Automaton(block))
 
-        @F.pandas_udf(FOUND)
-        def found(texts: pd.Series) -> pd.DataFrame:
-            rows = []
-            for text in texts:
-                words = words_of(text)
-                spans, items = automaton.value.search(words)
-                rows.append((len(words), [{"first": a, "stop": b, "short": c} for a, b, c in spans], sorted(items)))
-            return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
-
-        return df.withColumn("found", found(F.col("text").cast("binary"))).select(*df.columns, "found.*")
-
-    blocks = _blocks(benchmark)
-    first = search(next(blocks), docs)
-    more = [search(b, docs.select("text", row_key().alias("key"))).filter(F.size("spans") > 0) for b in blocks]
-    if not more:
-        return first
-    parts = first.select(row_key().alias("key"), "spans", "items")
-    for part in more:
-        parts = parts.unionByName(part.select("key", "spans", "items"))
-    whole = parts.groupBy("key").agg(
-        merged(F.sort_array(F.flatten(F.collect_set("spans")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-    )
-    return first.drop("spans", "items").withColumn("key", row_key()).join(whole, "key").drop("key")
+def _automata(benchmark: DataFrame) -> tuple[tuple[str, ...], int]:
+    """Names of the files of automata, as executors have them, and the number of blocks."""
+    pieces = _pieces(benchmark)
+    blocks = math.ceil((pieces.agg(F.sum("n")).first()[0] or 0) / BLOCK_WORDS)
 
+    def build(block: pd.DataFrame) -> pd.DataFrame:
+        automaton = Automaton([(i, w.split()) for i, w in zip(block["item"], block["words"], strict=True)])
+        return pd.DataFrame({"automaton": [pickle.dumps(automaton)]})
 
-def merged(spans: Column) -> Column:
-    """Sorted spans with those that touch or overlap made one."""
+    of_block = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(max(1, blocks))))
+    files = [unquote(f) for f in store(of_block.groupBy("block").applyInPandas(build, "automaton binary")).inputFiles()]
+    for f in files:
+        benchmark.sparkSession.sparkContext.addFile(f)
+    return tuple(f.rsplit("/", 1)[-1] for f in files), blocks
 
-    def add(done: Column, s: Column) -> Column:
-        end = F.element_at(done, -1)
-        joined = F.concat(
-            F.slice(done, 1, F.size(done) - 1),
-            F.array(F.struct(end["first"].alias("first"), F.greatest(end["stop"], s["stop"]).alias("stop"), (end["short"] | s["short"]).alias("short"))),
-        )
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] >= s["first"]), joined).otherwise(
-            F.concat(done, F.array(s))
-        )
 
-    return F.aggregate(spans, F.slice(spans, 1, 0), add)
+def _read(files: tuple[str, ...]) -> Iterator[Automaton]:
+    """The automata of these files, or an empty one if there are none."""
+    empty = True
+    for name in files:
+        with pq.ParquetFile(SparkFiles.get(name)) as file:
+            for batch in file.iter_batches(batch_size=1):
+                empty = False
+                yield pickle.loads(batch.column(0)[0].as_py())
+    if empty:
+        yield Automaton([])
+
+
+@lru_cache(1)
+def _held(files: tuple[str, ...]) -> list[Automaton]:
+    return list(_read(files))
+
+
+def find_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """`docs` (whose columns must not be named like these) with n_words, spans of hit words, and items."""
+    files, blocks = _automata(benchmark)
+    held = blocks <= HELD
+
+    @F.pandas_udf(FOUND)
+    def found(texts: pd.Series) -> pd.DataFrame:
+        counts, spans, items = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
+        for automaton in _held(files) if held else _read(files):
+            for i, text in enumerate(texts):
+                words = words_of(text)
+                counts[i] = len(words)
+                more, named = automaton.search(words)
+                spans[i] = merged(spans[i] + more) if spans[i] and more else spans[i] or more
+                items[i] |= named
+        rows = [
+            (n, [{"first": a, "stop": b, "short": c} for a, b, c in of], sorted(named))
+            for n, of, named in zip(counts, spans, items, strict=True)
+        ]
+        return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+
+    return docs.withColumn("found", found(F.col("text").cast("binary"))).select(*docs.columns, "found.*")
+
+
+def merged(spans: list[tuple[int, int, bool]]) -> list[tuple[int, int, bool]]:
+    """Spans in order, with those that touch or overlap made one."""
+    out: list[tuple[int, int, bool]] = []
+    for first, stop, short in sorted(spans):
+        if out and out[-1][1] >= first:
+            before = out.pop()
+            first, stop, short = before[0], max(stop, before[1]), short or before[2]
+        out.append((first, stop, short))
+    return out
 
 
 def hit_words() -> Column:

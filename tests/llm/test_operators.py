@@ -165,6 +165,30 @@ def test_automaton_equals_brute_force(monkeypatch, make, spark):
     assert sorted(decontaminate.report(docs, table).collect()) == whole
 
 
+@pytest.mark.parametrize("block", [100_000, 70])
+def test_items_in_pieces_and_blocks_equal_brute_force(block, monkeypatch, make, spark):
+    rng = random.Random(11)
+    items = [(i, [rng.choice(WORDS[:60]) for _ in range(n)]) for i, n in enumerate([200, 10, 11, 3, 1, 9, 130, 17, 26])]
+    items += [(20, items[0][1]), (0, items[0][1]), (21, [])]
+    texts = []
+    for _ in range(80):
+        of = items[rng.randrange(len(items))][1]
+        at = rng.randrange(max(1, len(of)))
+        texts.append([rng.choice(WORDS) for _ in range(15)] + of[at : at + rng.randint(1, 60)] + [rng.choice(WORDS) for _ in range(15)])
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    docs = make([(i, " ".join(w), "", "") for i, w in enumerate(texts)])
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 8)
+    monkeypatch.setattr(decontaminate, "HELD", 1)
+    found = decontaminate.report(docs, table)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    for r in found.collect():
+        hit, named = brute_hits(texts[r["doc_id"]], items)
+        listed = ",".join(sorted(map(str, named)))
+        assert (r["n_hit"], r["n_items"], r["contaminated"]) == (len(hit), len(named), bool(hit))
+        assert r["items_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+
+
 def test_spans_are_cut(make, spark):
     table = spark.createDataFrame([(1, passage(1, 12))], "item_id bigint, text string")
     docs = make([(1, f"Before, {passage(1, 12).upper()}! after", "", "")])
