@@ -10,10 +10,12 @@ Groups of copies of any size stay linear: texts with equal sets are one class fr
 small bucket all classes are compared. In large ones the shingles are counted: classes that share a rare
 one are compared, and of others it is known that they share no more than their frequent ones. Each is
 compared with the most central class of its bucket, the one with the least share of rare shingles; then
-those that this leaves in different components are compared among themselves, unless the number of
-frequent shingles rules a link out. No link between components is missed. All of it is keyed by hashes,
-hot buckets and classes are joined by broadcast (`join_split`), and texts move only for classes that share a
-bucket with another.
+those that this leaves in different components are compared if they meet in a shingle of their prefixes: in the
+order of frequency, the first n - ceil(0.8 n) + 1 of n shingles, one of which two linked sets always share.
+Only frequent shingles of a prefix count, since rare ones have been compared; the places of the shared
+shingle bound what is left to share. No link between components is missed. All of it is keyed by hashes,
+hot buckets and classes are joined by broadcast (`join_split`), hot shingles are dealt over tasks, and texts move
+only for classes that share a bucket with another.
 
 A pair at the threshold misses all BANDS bands with probability (1 - 0.8**ROWS)**BANDS, about 5e-8.
 
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import join_split, row_key, store, table
@@ -41,6 +43,8 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 32, 4
 # Classes that meet in a bucket, or in a shingle, are all compared up to this number.
 SMALL = 16
+# Classes that meet in a shingle of their prefixes are dealt into parts of about this number.
+PART = 1_000
 BATCH = 512
 _M1, _M2 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
@@ -130,10 +134,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return store(pairs.join(left, "a").join(right, "b").mapInPandas(check, "a binary, b binary"))
 
 
-def _rare_shingles(texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+def _rare_shingles(texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of shingles that at most SMALL sets of `texts` have: how many a set has (set, own), and pairs (a, b) that share one.
 
-    Shingles with the same sets count once for the pairs.
+    Shingles with the same sets count once for the pairs. The third is the other shingles: (set, shingle, times).
     """
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,12 +150,12 @@ def _rare_shingles(texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
                 )
 
     having = store(texts.select("set", "text").mapInPandas(shingles, "set binary, shingle bigint"))
-    times = having.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") <= SMALL)
-    rare = store(having.join(times, "shingle"))
+    times = having.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
+    rare = store(having.join(times.filter(F.col("times") <= SMALL), "shingle"))
     own = rare.groupBy("set").agg(F.count(F.lit(1)).alias("own"))
     together = rare.filter("times > 1").groupBy("shingle").agg(F.sort_array(F.collect_set("set")).alias("sets")).select("sets").distinct()
     pairs = together.select(F.posexplode("sets").alias("i", "a"), "sets").select("a", F.explode(F.expr("slice(sets, i + 2, size(sets))")).alias("b"))
-    return own, pairs.distinct()
+    return own, pairs.distinct(), having.join(times.filter(F.col("times") > SMALL), "shingle")
 
 
 def _may_link(n: Column, own: Column, other_n: Column, other_own: Column, percent: int) -> Column:
@@ -160,12 +164,33 @@ def _may_link(n: Column, own: Column, other_n: Column, other_own: Column, percen
     return 100 * most >= percent * (n + other_n - most)
 
 
-def _pairs(left: DataFrame, right: DataFrame, key: str, percent: int, also: Column | None = None) -> DataFrame:
+def _pairs(classes: DataFrame, key: str, percent: int) -> DataFrame:
     """Pairs of classes of (key, set, n, own) that meet under a key and could be linked."""
-    x, y = left.alias("x"), right.alias("y")
+    x, y = classes.alias("x"), classes.alias("y")
     on = (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.set") < F.col("y.set"))
     on = on & _may_link(F.col("x.n"), F.col("x.own"), F.col("y.n"), F.col("y.own"), percent)
-    return x.join(y, on if also is None else on & also).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
+    return x.join(y, on).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
+
+
+def _pairs_apart(apart: DataFrame, frequent: DataFrame, percent: int, total: int) -> DataFrame:
+    """Pairs of classes of (set, n, own, comp, all) in different components that could be linked through a frequent shingle.
+
+    They meet in one of `all`, their buckets, and in a shingle of both prefixes.
+    """
+    n, own, order = F.col("n"), F.col("own"), Window.partitionBy("set").orderBy("times", "shingle")
+    unsure = apart.withColumn("prefix", n - F.floor((percent * n + 99) / 100) + 1).filter("own < prefix")
+    # Rare shingles come first, so a frequent one has them all before it.
+    placed = frequent.join(unsure, "set").withColumn("place", own + F.row_number().over(order)).filter("place <= prefix")
+    placed = store(placed.drop("times", "prefix"))
+    met = placed.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    placed = join_split(placed, met, ["shingle"], "met", total).withColumn("parts", F.ceil(F.col("met") / PART))
+    x = placed.withColumn("part", F.pmod(F.xxhash64("set"), "parts")).alias("x")
+    y = placed.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).alias("y")
+    most = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    on = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.set") < F.col("y.set"))
+    on = on & (F.col("x.comp") != F.col("y.comp")) & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most))
+    on = on & _may_link(F.col("x.n"), F.col("x.own"), F.col("y.n"), F.col("y.own"), percent) & F.arrays_overlap("x.all", "y.all")
+    return x.join(y, on).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -194,7 +219,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     # Small buckets: every pair. Large ones: each class with the most central one of its bucket.
     small = members.filter(F.col("met") <= SMALL).select("bucket", "set", "n", F.lit(0).cast("bigint").alias("own"))
     large = members.filter(F.col("met") > SMALL).select("bucket", "set", "n")
-    own, sharing = _rare_shingles(texts.join(large.select("set").distinct(), "set", "left_semi"), k)
+    own, sharing, frequent = _rare_shingles(texts.join(large.select("set").distinct(), "set", "left_semi"), k)
     large = store(large.join(own, "set", "left").select("bucket", "set", "n", F.coalesce("own", F.lit(0)).alias("own")))
     centres = large.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "set", "n", "own")).alias("c"))
     to_centre = join_split(large, centres.join(shared, "bucket"), ["bucket"], "met", total).filter("set <> c.set")
@@ -203,7 +228,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
         to_centre.filter(possible)
         .select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b"))
         .unionByName(sharing)
-        .unionByName(_pairs(small, small, "bucket", percent))
+        .unionByName(_pairs(small, "bucket", percent))
         .distinct()
     )
     links = _confirmed(first, texts, k, percent)
@@ -212,12 +237,14 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
         "bucket", "set", "n", "own", F.coalesce("comp", "set").alias("comp")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
-    apart = store(labelled.join(mixed, "bucket", "left_semi"))
-    apart = apart.join(apart.groupBy("set").agg(F.collect_set("bucket").alias("all")), "set")
-    # Two classes may meet in several buckets; they count in the least of these.
-    once = F.col("x.bucket") == F.array_min(F.array_intersect("x.all", "y.all"))
-    second = store(_pairs(apart, apart, "bucket", percent, (F.col("x.comp") != F.col("y.comp")) & once).join(first, ["a", "b"], "left_anti"))
-    links = links.unionByName(_confirmed(second, texts, k, percent))
+    apart = store(
+        labelled.join(mixed, "bucket", "left_semi")
+        .groupBy("set")
+        .agg(*[F.first(c).alias(c) for c in ("n", "own", "comp")], F.collect_set("bucket").alias("all"))
+    )
+    if apart.limit(1).count():
+        second = _pairs_apart(apart, frequent, percent, total).join(first, ["a", "b"], "left_anti")
+        links = links.unionByName(_confirmed(second, texts, k, percent))
     # Rows with one id are one document: the classes of its texts are linked through it.
     several = rows.filter("set IS NOT NULL AND NOT key.no_id").groupBy("key.doc_id").agg(F.min("set").alias("a"), F.max("set").alias("z")).filter("a <> z")
     same = rows.join(several, F.col("key.doc_id") == F.col("doc_id")).filter("set <> a").select("a", F.col("set").alias("b"))

@@ -136,6 +136,29 @@ def test_minhash_equals_brute_force_on_a_large_group(make):
     assert got == brute_components([(r[0], r[1]) for r in rows], 4, 80)
 
 
+def test_large_mixed_buckets_equal_brute_force_with_few_pairs(make, monkeypatch):
+    rng = random.Random(8)
+    lead = passage(3, 46).split()
+    tails = [[f"t{i}x{j}" for j in range(11)] for i in range(9)]
+    rows = []
+    for i in range(260):
+        words = lead + [w for t in rng.sample(tails, 2) for w in t]
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    seen = []
+    confirmed, apart = minhash._confirmed, minhash._pairs_apart
+    monkeypatch.setattr(minhash, "_confirmed", lambda pairs, *rest: seen.append(pairs.count()) or confirmed(pairs, *rest))
+    monkeypatch.setattr(minhash, "_pairs_apart", lambda classes, *rest: seen.append(classes.collect()) or apart(classes, *rest))
+    monkeypatch.setattr(minhash, "PART", 7)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(make([(*r, "", "") for r in rows]), 4).collect()}
+    assert got == brute_components(rows, 4, 80)
+    assert len({c for _, c in got.values()}) > 1
+    _, classes, second = seen
+    in_bucket = sum(x["comp"] != y["comp"] and not set(x["all"]).isdisjoint(y["all"]) for x, y in combinations(classes, 2))
+    assert 0 < in_bucket and second < in_bucket / 2
+
+
 def brute_hits(words, items, size=10):
     hit, found = set(), set()
     for item, w in items:
