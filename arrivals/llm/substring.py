@@ -5,7 +5,8 @@ ones: any SEED + SPAN - 1 words that two documents share hold a common seed. Of
 first, by id, is matched with all others, at all their places, so a passage that thousands of documents share
 costs one match for each seed and place, not one for each pair. What is then neither a copy nor the origin
 of one is matched with the last document that holds the seed: an early document that has only a
-piece of a passage does not hide it.
+piece of a passage does not hide it. What is still neither is matched with every other document that has two of its
+seeds, NEAR to FAR words apart, however many there are: pieces in the first and the last document hide nothing either.
 
 The matches of two documents are chained: in both they must go forward, each adds its words, and
 gaps cost GAP a word. A Fenwick tree over positions in the origin document holds the best chain that
@@ -19,8 +20,8 @@ matches of one document with one other. Words move, as hashes, only for document
 stretch of a chain goes to Python.
 
 What is not found: copies with less than two common seeds WORDS // 2 words apart (README has the share of near copies
-found, by likeness); a passage of which both the first and the last holder of its seeds have pieces
-only; ends of a passage more than MARGIN words beyond its last common seed. In gaps of more than LONG_GAP words only
+found, by likeness); of those of which both the first and the last holder of the seeds have pieces only, the ones whose
+common seeds are not NEAR words apart; ends of a passage more than MARGIN words beyond its last common seed. In gaps of more than LONG_GAP words only
 words at equal distance from the gap's start count as agreeing.
 
 Defined cases: null and short texts have no seeds. Repeats within one document are not reported. Rows with equal
@@ -35,11 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import HOT_SHARE, join_split, store, table
-from arrivals.llm.hashing import sequences, words_hashed
+from arrivals.llm.common import HOT_SHARE, store, table
+from arrivals.llm.hashing import mix, sequences, words_hashed
 
 SEED, SPAN = 4, 10
 # A passage: least words, least share of words that agree, price of a word in a gap.
@@ -47,6 +48,9 @@ WORDS, ALIKE, GAP = 50, 0.8, 0.25
 # Words around a chain that its ends may grow by; words of a gap that are aligned one by one; words
 # in which an end may find no agreement before it stops growing.
 MARGIN, LONG_GAP, DROP = 64, 200, 6
+# Words between two seeds by which what is left meets all other documents. Any passage has a stretch of less than
+# 2 * WORDS that is alike enough; in WORDS equal ones, seeds begin within SPAN - 1 words of either end.
+NEAR, FAR = WORDS - SEED - 2 * (SPAN - 1), 2 * WORDS - SEED
 
 
 def seeds(words: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -273,6 +277,38 @@ def _seed_rows(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInPandas(rows, "doc_id bigint, part int, seed bigint, places array<int>")
 
 
+def _hot_seeds(found: DataFrame) -> DataFrame:
+    """Seeds with a share of HOT_SHARE of all rows, among some that have it in one task only.
+
+    What has that share of all rows has it of the rows of some task, so each task names its own: 1 / HOT_SHARE at most.
+    """
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = [batch["seed"].to_numpy(np.int64) for batch in batches]
+        if seen:
+            values, times = np.unique(np.concatenate(seen), return_counts=True)
+            yield pd.DataFrame({"seed": values[times >= max(2.0, times.sum() * HOT_SHARE)]})
+
+    named = store(found.select("seed").mapInPandas(rows, "seed bigint").distinct())
+    total = found.count()
+    counted = found.join(F.broadcast(named), "seed").groupBy("seed").agg(F.count(F.lit(1)).alias("times"))
+    return store(counted.filter(F.col("times") >= max(2.0, total * HOT_SHARE)).select("seed"))
+
+
+def _held(found: DataFrame) -> DataFrame:
+    """The rows of seeds that several have, with the first and the last of these and their number.
+
+    Rows of other than hot seeds move once, to those of the same seed; hot ones stay where they are.
+    """
+    holder = F.struct("doc_id", "part", F.get("places", F.lit(0)).alias("place"))
+    values = {"first": F.min(holder), "last": F.max(holder), "times": F.count(F.lit(1)), "most": F.max(F.size("places"))}
+    hot = _hot_seeds(found)
+    ends = found.join(F.broadcast(hot), "seed").groupBy("seed").agg(*[c.alias(n) for n, c in values.items()])
+    same = Window.partitionBy("seed")
+    cold = found.join(F.broadcast(hot), "seed", "left_anti").withColumns({n: c.over(same) for n, c in values.items()})
+    return found.join(F.broadcast(ends), "seed").unionByName(cold).filter("times > 1")
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.hash("text").alias("part"), F.col("text").cast("binary").alias("text"))
 
@@ -353,12 +389,14 @@ def _aligned(chains: DataFrame, docs: DataFrame) -> DataFrame:
             frame = pd.DataFrame(out, columns=["doc_id", "part", "first_word", "end_word", "origin_id", "origin_part", "origin_first", "origin_end", "alike"])
             yield frame.astype({"doc_id": "Int64", "origin_id": "Int64"})
 
-    return store(
+    found = store(
         rows.mapInPandas(
             aligned,
             "doc_id bigint, part int, first_word int, end_word int, origin_id bigint, origin_part int, origin_first int, origin_end int, alike double",
         )
     )
+    _done_with(words)
+    return found
 
 
 def _long_enough(groups: DataFrame) -> DataFrame:
@@ -367,20 +405,117 @@ def _long_enough(groups: DataFrame) -> DataFrame:
     return groups.filter(F.size("matches") > 1).filter(spread + SEED >= WORDS // 2)
 
 
+def _covered(passages: DataFrame) -> DataFrame:
+    """key and spans (first and end position) of the documents that have a copy or an origin of one."""
+    spans = passages.select("doc_id", "part", F.struct(F.col("first_word").alias("first"), F.col("end_word").alias("stop")).alias("span")).unionByName(
+        passages.select(F.col("origin_id").alias("doc_id"), F.col("origin_part").alias("part"), F.struct(F.col("origin_first").alias("first"), F.col("origin_end").alias("stop")).alias("span"))
+    )
+    # The copies of a passage have one origin; its spans there are few different ones, but may be many in all.
+    return spans.distinct().groupBy(_key("doc_id", "part")).agg(F.collect_list("span").alias("spans"))
+
+
+def couples(places: np.ndarray, seeds: np.ndarray, many: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Couples of seeds at sorted places, NEAR to FAR words apart, of which one has many holders or places.
+
+    Their hashes, the indices of both seeds, and if both are free.
+    """
+    low, high = np.searchsorted(places, places + NEAR), np.searchsorted(places, places + FAR, side="right")
+    n = high - low
+    i = np.repeat(np.arange(len(places)), n)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+    open_ = many[i] | many[j]
+    i, j = i[open_], j[open_]
+    return mix(seeds[i] * np.uint64(0x9E3779B97F4A7C15) + seeds[j]).view(np.int64), i, j, free[i] & free[j]
+
+
+def _done_with(stored: DataFrame) -> None:
+    """Delete a stored table that nothing will read again, and let Spark drop the shuffles that no plan needs any more."""
+    spark = stored.sparkSession
+    files = stored.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    # Spark does that when the driver collects garbage, which it would seldom do of itself.
+    spark._jvm.System.gc()
+
+
+def _couples(held: DataFrame, spans: DataFrame, free_only: bool) -> DataFrame:
+    """The couples of each document, each once: its hash, if it is free somewhere, and its places.
+
+    With `free_only` those that are, with all free places of either seed; else all, with the first place.
+    """
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes, out, lists = [], [], []
+            for r in batch.itertuples(index=False):
+                sizes.append(0)
+                places = np.asarray(r.place, np.int64)
+                inside = np.zeros(int(places[-1]) + 2, np.int64)
+                if r.first is not None:
+                    np.add.at(inside, np.minimum(r.first, places[-1] + 1), 1)
+                    np.add.at(inside, np.minimum(r.stop, places[-1] + 1), -1)
+                free = np.cumsum(inside)[places] == 0
+                if free_only and not free.any():
+                    continue
+                seeds = np.asarray(r.seed, np.int64).view(np.uint64)
+                some = free if free_only else slice(None)
+                places, seeds = places[some], seeds[some]
+                found, i, j, both = couples(places, seeds, np.asarray(r.many, bool)[some], free[some])
+                if not len(found):
+                    continue
+                order = np.argsort(found, kind="stable")
+                first = np.flatnonzero(np.concatenate([[True], np.diff(found[order]) != 0]))
+                lead = order[first]
+                if free_only:
+                    parts = np.split(order, first[1:])
+                    lists += [(places[np.unique(i[part])], places[np.unique(j[part])]) for part in parts]
+                else:
+                    lists += zip(places[i[lead]][:, None], places[j[lead]][:, None], strict=True)
+                signed = seeds.view(np.int64)
+                sizes[-1] = len(lead)
+                out.append((found[lead], np.logical_or.reduceat(both[order], first), signed[i[lead]], signed[j[lead]]))
+            if out:
+                columns = dict(zip(("couple", "free", "one", "two"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+                of = {"doc_id": batch["doc_id"].array.repeat(sizes), "part": np.repeat(batch["part"].to_numpy(np.int32), sizes)}
+                frame = pd.DataFrame(of | columns | {"at": [x for x, _ in lists], "further": [y for _, y in lists]})
+                yield frame[["couple", "doc_id", "part", "free", "one", "two", "at", "further"]]
+
+    at = F.explode("places").alias("place")
+    seen = held.select("doc_id", "part", "seed", ((F.col("times") > 2) | (F.col("most") > 1)).alias("many"), at)
+    seen = seen.groupBy("doc_id", "part").agg(F.sort_array(F.collect_set(F.struct("place", "seed", "many"))).alias("s"))
+    seen = seen.withColumn("key", _key("doc_id", "part")).join(spans, "key", "left")
+    columns = [F.col(f"s.{c}").alias(c) for c in ("place", "seed", "many")] + [F.col(f"spans.{c}").alias(c) for c in ("first", "stop")]
+    return seen.select("doc_id", "part", *columns).mapInPandas(
+        rows, "couple bigint, doc_id bigint, part int, free boolean, one bigint, two bigint, at array<int>, further array<int>"
+    )
+
+
+def _rest(held: DataFrame, spans: DataFrame) -> DataFrame:
+    """Groups of matches of all that is in no span with every holder of two of its seeds, NEAR to FAR words apart.
+
+    Of two documents that both have a couple of seeds free, the later one is the copy.
+    """
+    free = store(_couples(held, spans, True))
+    seeds_left = store(free.select(F.explode(F.array("one", "two")).alias("seed")).distinct())
+    there = store(_couples(held.join(seeds_left, "seed", "left_semi"), spans, False).join(free.select("couple").distinct(), "couple", "left_semi"))
+    there = there.select("couple", F.col("doc_id").alias("origin_id"), F.col("part").alias("origin_part"), F.col("free").alias("free_there"), F.get("at", F.lit(0)).alias("y"), F.get("further", F.lit(0)).alias("z"))
+    here, origin = F.struct("doc_id", "part"), F.struct(F.col("origin_id").alias("doc_id"), F.col("origin_part").alias("part"))
+    met = free.select("couple", "doc_id", "part", "at", "further").join(there, "couple").filter((origin < here) | ((origin > here) & ~F.col("free_there")))
+    packed = lambda y: lambda x: F.shiftleft(x.cast("bigint"), 32).bitwiseOR(F.col(y).cast("bigint"))
+    found = met.select("doc_id", "part", "origin_id", "origin_part", F.explode(F.concat(F.transform("at", packed("y")), F.transform("further", packed("z")))).alias("match"))
+    return found.groupBy("doc_id", "part", "origin_id", "origin_part").agg(F.sort_array(F.collect_set("match")).alias("matches"))
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """One row for each repeated passage: doc_id, first_word, end_word, origin_id, origin_first, origin_end, alike."""
     found = store(_seed_rows(docs))
-    holder = F.struct("doc_id", "part", F.get("places", F.lit(0)).alias("place"))
-    shared = store(
-        found.groupBy("seed")
-        .agg(F.min(holder).alias("first"), F.max(holder).alias("last"), F.count(F.lit(1)).alias("times"))
-        .filter("times > 1")
-    )
+    held = store(_held(found))
+    _done_with(found)
     # The last holder is another one than the first, and of use, only if there is a third.
     others = F.when(F.col("times") > 2, F.array("first", "last")).otherwise(F.array("first"))
     matches = (
-        join_split(found, shared, ["seed"], "times", found.count())
-        .select("doc_id", "part", "places", F.posexplode(others).alias("turn", "origin"))
+        held.select("doc_id", "part", "places", F.posexplode(others).alias("turn", "origin"))
         .filter((F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("part") == F.col("origin.part"))) == F.lit(False))
         .select("doc_id", "part", "turn", "origin", F.explode("places").alias("place"))
         # Position here and in the origin, in one number.
@@ -393,16 +528,15 @@ def passages(docs: DataFrame) -> DataFrame:
     groups = store(_long_enough(matches.groupBy(*ends).agg(F.sort_array(F.collect_set("match")).alias("matches"))))
     firsts = _aligned(store(_chains(groups.filter("turn = 0"))), docs)
     # What is a copy or an origin by now is done with.
-    spans = firsts.select("doc_id", "part", F.struct(F.col("first_word").alias("first"), F.col("end_word").alias("stop")).alias("span")).unionByName(
-        firsts.select(F.col("origin_id").alias("doc_id"), F.col("origin_part").alias("part"), F.struct(F.col("origin_first").alias("first"), F.col("origin_end").alias("stop")).alias("span"))
-    )
-    # The copies of a passage have one origin; its spans there are few different ones, but may be many in all.
-    spans = spans.distinct().groupBy(_key("doc_id", "part")).agg(F.collect_list("span").alias("spans"))
+    spans = _covered(firsts)
     place = lambda m: F.shiftright(m, 32)
     free = F.filter("matches", lambda m: ~F.exists("spans", lambda s: (place(m) >= s["first"]) & (place(m) < s["stop"])))
     rest = groups.filter("turn = 1").withColumn("key", _key("doc_id", "part")).join(spans, "key", "left").withColumn("matches", F.when(F.col("spans").isNull(), F.col("matches")).otherwise(free))
     lasts = _aligned(store(_chains(_long_enough(rest.drop("key", "spans")))), docs)
-    return firsts.unionByName(lasts).drop("part", "origin_part")
+    found = firsts.unionByName(lasts)
+    # What neither the first nor the last holder has whole.
+    rest = store(_chains(_long_enough(_rest(held, store(_covered(found))))))
+    return found.unionByName(_aligned(rest, docs)).drop("part", "origin_part")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -450,6 +450,31 @@ def test_a_piece_in_the_first_document_hides_nothing(make):
     assert found == {(2, 30, 90, 4), (3, 50, 110, 4), (6, 0, 70, 5), (6, 110, 180, 5)}
 
 
+def test_pieces_in_the_first_and_the_last_document_hide_nothing(make):
+    """All seeds of a passage lie in a piece in the first or in the last document; four between them have it whole."""
+    p = [f"p{i}" for i in range(80)]
+    foreign = lambda d, n: [f"d{d}x{i}" for i in range(n)]
+    rows = [
+        (1, " ".join([*p[:45], *foreign(1, 60), *p[40:]]), "", ""),
+        *((d, " ".join([*foreign(d, 10 * d), *p]), "", "") for d in (2, 3, 4, 5)),
+        (6, " ".join([*p[:45], *foreign(6, 60), *p[40:]]), "", ""),
+    ]
+    found = {(r["doc_id"], r["first_word"], r["end_word"], r["origin_id"]) for r in substring.passages(make(rows)).collect()}
+    assert {(3, 30, 110, 2), (4, 40, 120, 2), (5, 50, 130, 2)} <= found
+    assert all(doc in (2, 3, 4, 5) and origin in (2, 3, 4, 5) for doc, *_, origin in found)
+
+
+def test_hot_seeds_are_joined_apart(make, monkeypatch):
+    """The same rows whether seeds count as hot or not."""
+    shared = passage(5, 70)
+    rows = [(i, f"{shared} {passage(40 + i, 30)}", "", "") for i in range(9)] + [(9, None, "", ""), (None, shared, "", "")]
+    found = []
+    for share in (0.0001, 0.5):
+        monkeypatch.setattr(substring, "HOT_SHARE", share)
+        found.append(sorted(map(repr, substring.passages(make(rows)).collect())))
+    assert found[0] == found[1] and len(found[0]) == 9
+
+
 def test_copies_of_a_hot_origin(make, monkeypatch):
     monkeypatch.setattr(substring, "HOT_SHARE", 0.1)
     shared = passage(4, 120).split()
