@@ -33,9 +33,12 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,9 +51,15 @@ WORDS, ALIKE, GAP = 50, 0.8, 0.25
 # Words around a chain that its ends may grow by; words of a gap that are aligned one by one; words
 # in which an end may find no agreement before it stops growing.
 MARGIN, LONG_GAP, DROP = 64, 200, 6
+# Bytes of the texts whose seeds are found at once, besides the last one of them.
+BATCH_BYTES = 1 << 20
+# Turns in which the texts of documents with a chain are sought.
+TURNS = 2
 # Words between two seeds by which what is left meets all other documents. Any passage has a stretch of less than
 # 2 * WORDS that is alike enough; in WORDS equal ones, seeds begin within SPAN - 1 words of either end.
 NEAR, FAR = WORDS - SEED - 2 * (SPAN - 1), 2 * WORDS - SEED
+# Words between two matches in the origin beyond which no chain begins with them, by the rules of `chain`.
+REACH = max(y for x in range(1, 100) for y in range(1, 100) if GAP * (x + y) / 2 < min(SEED, (1 + GAP) * min(SEED, x, y)))
 
 
 def seeds(words: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -256,25 +265,48 @@ def align(x: np.ndarray, y: np.ndarray, path: list[tuple[int, int]]) -> list[tup
     return sorted(out)
 
 
+def seeds_of(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """`seeds` of several texts, one after the other: number of seeds of each text, hashes, number of places of each seed, places."""
+    sizes = np.array([len(w) for w in texts])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    words = np.concatenate([*texts, np.zeros(SEED + SPAN, np.uint64)])
+    found = sequences(words, SEED)
+    # All windows of SPAN seeds that lie in one text, and the one shorter window of a shorter text.
+    windows = np.where(sizes < SEED, 0, np.maximum(sizes - (SEED + SPAN - 2), 1))
+    text = np.repeat(np.arange(len(texts)), windows)
+    first = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows) + starts[text]
+    stop = starts[text + 1] - SEED
+    at, least = first.copy(), found[first]
+    for i in range(1, SPAN):
+        value = found[first + i]
+        less = (value < least) & (first + i <= stop)
+        at[less], least[less] = first[less] + i, value[less]
+    # The least of the next window is the same one or a later one.
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+    at, least, text = at[new], least[new], text[new]
+    order = np.lexsort((least, text))
+    at, least, text = at[order], least[order], text[order]
+    lead = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (text[1:] != text[:-1])])) if len(at) else at
+    return np.bincount(text[lead], minlength=len(texts)), least[lead], np.diff(np.append(lead, len(at))), at - starts[text]
+
+
 def _seed_rows(docs: DataFrame) -> DataFrame:
     """doc_id, part (hash of the text), seed, and places of each seed of a document."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                some = batch.iloc[at : at + 512]
-                found = [seeds(w) for w in words_hashed(list(some["text"]))]
-                sizes = [len(h) for _, h in found]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": some["doc_id"].array.repeat(sizes),
-                        "part": np.repeat(some["part"].to_numpy(np.int32), sizes),
-                        "seed": np.concatenate([h for _, h in found]).view(np.int64),
-                        "places": pd.Series([p for places, _ in found for p in places], dtype=object),
-                    }
+            long = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // BATCH_BYTES
+            ends = [*(np.flatnonzero(np.diff(long)) + 1).tolist(), len(batch)]
+            for at, end in zip([0, *ends], ends, strict=False):
+                some = batch.slice(at, end - at)
+                sizes, hashes, times, places = seeds_of(words_hashed(some["text"].to_pylist()))
+                of = pa.array(np.repeat(np.arange(len(some)), sizes))
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(times)]).astype(np.int32), pa.array(places.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [some["doc_id"].take(of), some["part"].take(of), pa.array(hashes.view(np.int64)), lists], names=["doc_id", "part", "seed", "places"]
                 )
 
-    return _texts(docs).mapInPandas(rows, "doc_id bigint, part int, seed bigint, places array<int>")
+    return _texts(docs).mapInArrow(rows, "doc_id bigint, part int, seed bigint, places array<int>")
 
 
 def _hot_seeds(found: DataFrame) -> DataFrame:
@@ -339,10 +371,16 @@ def _words(docs: DataFrame, needed: DataFrame) -> DataFrame:
                 some = batch.iloc[at : at + 256]
                 yield pd.DataFrame({"key": some["key"], "hashes": [w.tobytes() for w in words_hashed(list(some["text"]))]})
 
-    texts = _texts(docs).select(_key("doc_id", "part"), "text")
-    # Repeated rows have one key and one text.
-    texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    return store(texts.mapInPandas(rows, "key struct<id:bigint,part:int>, hashes binary"))
+    parts = []
+    for turn in range(TURNS):
+        # To be joined, all texts move, of which only a part has a key in `needed`: they go in turns, so that less of them lies on disk.
+        of = lambda doc_id: F.pmod(F.xxhash64(doc_id), F.lit(TURNS)) == turn  # noqa: B023, E731
+        texts = _texts(docs.filter(of("doc_id"))).select(_key("doc_id", "part"), "text")
+        # Repeated rows have one key and one text.
+        texts = texts.join(needed.filter(of("key.id")), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+        parts.append(store(texts.mapInPandas(rows, "key struct<id:bigint,part:int>, hashes binary")))
+        _drop_shuffles(docs.sparkSession)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _key(doc_id: str, part: str) -> Column:
@@ -428,17 +466,20 @@ def couples(places: np.ndarray, seeds: np.ndarray, many: np.ndarray, free: np.nd
     return mix(seeds[i] * np.uint64(0x9E3779B97F4A7C15) + seeds[j]).view(np.int64), i, j, free[i] & free[j]
 
 
-def _done_with(stored: DataFrame) -> None:
-    """Delete a stored table that nothing will read again, and let Spark drop the shuffles that no plan needs any more."""
-    spark = stored.sparkSession
-    files = stored.inputFiles()
-    if files:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    # Spark does that when the driver collects garbage, which it would seldom do of itself.
+def _drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffles that no plan needs any more: it does when the driver collects garbage, which it would seldom do of itself."""
     spark._jvm.System.gc()
 
 
+def _done_with(*stored: DataFrame) -> None:
+    """Delete stored tables that nothing will read again, and the shuffles that no plan needs any more."""
+    spark = stored[0].sparkSession
+    for folder in {file.rsplit("/", 1)[0] for table in stored for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _drop_shuffles(spark)
+
+
 def _couples(held: DataFrame, spans: DataFrame, free_only: bool) -> DataFrame:
     """The couples of each document, each once: its hash, if it is free somewhere, and its places.
 
@@ -501,10 +542,18 @@ def _rest(held: DataFrame, spans: DataFrame) -> DataFrame:
     there = store(_couples(held.join(seeds_left, "seed", "left_semi"), spans, False).join(free.select("couple").distinct(), "couple", "left_semi"))
     there = there.select("couple", F.col("doc_id").alias("origin_id"), F.col("part").alias("origin_part"), F.col("free").alias("free_there"), F.get("at", F.lit(0)).alias("y"), F.get("further", F.lit(0)).alias("z"))
     here, origin = F.struct("doc_id", "part"), F.struct(F.col("origin_id").alias("doc_id"), F.col("origin_part").alias("part"))
-    met = free.select("couple", "doc_id", "part", "at", "further").join(there, "couple").filter((origin < here) | ((origin > here) & ~F.col("free_there")))
+    met = free.select("couple", "doc_id", "part").join(there, "couple").filter((origin < here) | ((origin > here) & ~F.col("free_there")))
+    # Documents meet without their places, of which a loop of words has very many: these come when it is known that a chain can begin.
+    ends = ["doc_id", "part", "origin_id", "origin_part"]
+    pairs = met.groupBy(*ends).agg(F.collect_list(F.struct("couple", "y", "z")).alias("met"))
+    y = F.array_sort(F.array_distinct(F.concat("met.y", "met.z")))
+    pairs = store(pairs.filter(F.exists(F.zip_with(y, F.slice(y, 2, F.size(y)), lambda a, b: b - a), lambda gap: gap <= REACH)))
+    met = pairs.select(*ends, F.inline("met"))
+    free = free.select("couple", F.col("doc_id").alias("id"), F.col("part").alias("of"), "at", "further")
+    met = met.join(free, (met["couple"] == free["couple"]) & met["doc_id"].eqNullSafe(free["id"]) & (met["part"] == free["of"]))
     packed = lambda y: lambda x: F.shiftleft(x.cast("bigint"), 32).bitwiseOR(F.col(y).cast("bigint"))
-    found = met.select("doc_id", "part", "origin_id", "origin_part", F.explode(F.concat(F.transform("at", packed("y")), F.transform("further", packed("z")))).alias("match"))
-    return found.groupBy("doc_id", "part", "origin_id", "origin_part").agg(F.sort_array(F.collect_set("match")).alias("matches"))
+    found = met.select(*ends, F.explode(F.concat(F.transform("at", packed("y")), F.transform("further", packed("z")))).alias("match"))
+    return found.groupBy(*ends).agg(F.sort_array(F.collect_set("match")).alias("matches"))
 
 
 def passages(docs: DataFrame) -> DataFrame:

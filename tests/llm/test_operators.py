@@ -464,6 +464,33 @@ def test_pieces_in_the_first_and_the_last_document_hide_nothing(make):
     assert all(doc in (2, 3, 4, 5) and origin in (2, 3, 4, 5) for doc, *_, origin in found)
 
 
+def test_documents_that_no_chain_can_join_meet_without_their_places(make, spark):
+    """Loops of one word have two places of a seed in common, too far apart for a chain: no group of matches is built."""
+    foreign = lambda d, n: [f"d{d}x{i}" for i in range(n)]
+    rows = [(d, " ".join([*foreign(d, 10 * d), *["the"] * 60, *foreign(-d, 20)]), "", "") for d in range(1, 9)]
+    p = [f"p{i}" for i in range(60)]
+    rows += [(d, " ".join([*foreign(d, d), *p]), "", "") for d in (20, 21, 22)]
+    none = spark.createDataFrame([], "key struct<id:bigint,part:int>, spans array<struct<first:int,stop:int>>")
+    groups = substring._rest(substring._held(substring._seed_rows(make(rows))), none).collect()
+    assert sorted((r["doc_id"], r["origin_id"]) for r in groups) == [(21, 20), (22, 20), (22, 21)]
+
+
+def test_no_chain_begins_beyond_its_reach():
+    linked = {y for x in range(1, 90) for y in range(1, 90) if len(substring.chain([(0, 0), (x, y)])) == 1}
+    assert max(linked) == substring.REACH < substring.NEAR
+
+
+def test_seeds_of_several_texts_at_once():
+    draw = np.random.default_rng(5)
+    for words in (1, 2, 1000):
+        texts = [draw.integers(0, words, n).astype(np.uint64) for n in (0, 3, 4, 13, 14, 200, 5, 0)]
+        sizes, hashes, times, places = substring.seeds_of(texts)
+        each = [substring.seeds(t) for t in texts]
+        assert sizes.tolist() == [len(h) for _, h in each]
+        assert hashes.tolist() == [x for _, h in each for x in h.tolist()]
+        assert [x.tolist() for x in np.split(places, np.cumsum(times)[:-1])] == [x.tolist() for p, _ in each for x in p]
+
+
 def test_hot_seeds_are_joined_apart(make, monkeypatch):
     """The same rows whether seeds count as hot or not."""
     shared = passage(5, 70)
