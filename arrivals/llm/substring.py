@@ -7,6 +7,8 @@ costs one match for each seed and place, not one for each pair. What is then nei
 of one is matched with the last document that holds the seed: an early document that has only a
 piece of a passage does not hide it. What is still neither is matched with every other document that has two of its
 seeds, NEAR to FAR words apart, however many there are: pieces in the first and the last document hide nothing either.
+Such documents meet without the places of their seeds; these follow only where two matches lie at most REACH words apart in the
+origin, since no chain begins elsewhere. The meetings still grow with the square of a seed's holders.
 
 The matches of two documents are chained: in both they must go forward, each adds its words, and
 gaps cost GAP a word. A Fenwick tree over positions in the origin document holds the best chain that
