@@ -55,6 +55,8 @@ WORDS, ALIKE, GAP = 50, 0.8, 0.25
 MARGIN, LONG_GAP, DROP = 64, 200, 6
 # Bytes of the texts whose seeds are found at once, besides the last one of them.
 BATCH_BYTES = 1 << 20
+# Bits of the sieve for each key that is sought, and the most of them in all (a row has SIEVE_ROW).
+SIEVE_BITS, SIEVE_ROW, SIEVE_ROWS = 16, 1 << 15, 1 << 12
 # Turns in which the texts of documents with a chain are sought.
 TURNS = 2
 # Words between two seeds by which what is left meets all other documents. Any passage has a stretch of less than
@@ -144,6 +146,8 @@ def _common(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Places of the words in common of two short sequences, in order (a longest common subsequence)."""
     if not len(a) or not len(b):
         return []
+    if len(a) == len(b) and (a == b).all():
+        return [(i, i) for i in range(len(a))]
     if len(a) > LONG_GAP or len(b) > LONG_GAP:
         n = min(len(a), len(b))
         return [(i, i) for i in np.flatnonzero(a[:n] == b[:n]).tolist()]
@@ -180,9 +184,22 @@ def _grown(a: np.ndarray, b: np.ndarray) -> list[int]:
 
 def pairs(x: np.ndarray, y: np.ndarray, path: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Positions in x and in y of the words that agree along a chain, gaps and ends included."""
-    (x0, y0), at_x, at_y = path[0], *path[0]
+    x0, y0 = path[0]
     out = [(x0 - 1 - i, y0 - 1 - i) for i in _grown(x[max(0, x0 - MARGIN) : x0][::-1], y[max(0, y0 - MARGIN) : y0][::-1])][::-1]
-    for i, j in path:
+    lead = 0
+    # Most copies agree word for word, from the first match to the last with as many words between in both.
+    while lead + 1 < len(path) and path[lead + 1][0] - path[lead + 1][1] == x0 - y0:
+        lead += 1
+    n = path[lead][0] + SEED - x0
+    differ = np.flatnonzero(x[x0 : x0 + n] != y[y0 : y0 + n])
+    if len(differ):
+        n = int(differ[0])
+        while lead and path[lead][0] + SEED - x0 > n:
+            lead -= 1
+        n = path[lead][0] + SEED - x0
+    out += zip(range(x0, x0 + n), range(y0, y0 + n), strict=True)
+    at_x, at_y = x0 + n, y0 + n
+    for i, j in path[lead + 1 :]:
         # Words between the end of the match before and this one; overlapping matches have none.
         if i > at_x and j > at_y:
             out += [(at_x + p, at_y + q) for p, q in _common(x[at_x:i], y[at_y:j])]
@@ -364,6 +381,19 @@ def _chains(groups: DataFrame) -> DataFrame:
     return groups.mapInPandas(rows, "doc_id bigint, part int, origin_id bigint, origin_part int, at array<int>, origin_at array<int>")
 
 
+def _sieved(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows with a key in `needed`, and a few others: those whose key has a bit that is set by one of them.
+
+    The bits are two bytes for each key needed and SIEVE_ROWS * SIEVE_ROW at most, so they are broadcast in place of the keys.
+    """
+    n = min(SIEVE_ROWS, needed.count() * SIEVE_BITS // SIEVE_ROW + 1)
+    bit = F.pmod(F.xxhash64("key"), F.lit(n * SIEVE_ROW))
+    row, place = F.floor(bit / SIEVE_ROW).alias("row"), F.pmod(bit, F.lit(SIEVE_ROW)).alias("place")
+    bits = needed.groupBy(row).agg(F.bitmap_construct_agg(place).alias("bits"))
+    marked = rows.withColumns({"row": row, "place": place}).join(F.broadcast(bits), "row")
+    return marked.filter(F.expr("shiftright(cast(conv(hex(substring(bits, cast(place div 8 as int) + 1, 1)), 16, 10) as int), cast(place % 8 as int)) % 2 = 1")).drop("row", "place", "bits")
+
+
 def _words(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """key and hashes (8 bytes for each word, one after the other) of the documents with a key in `needed`."""
 
@@ -375,11 +405,12 @@ def _words(docs: DataFrame, needed: DataFrame) -> DataFrame:
 
     parts = []
     for turn in range(TURNS):
-        # To be joined, all texts move, of which only a part has a key in `needed`: they go in turns, so that less of them lies on disk.
+        # To be joined, the texts move: only those that may have a key in `needed`, and in turns, so that less of them lies on disk.
         of = lambda doc_id: F.pmod(F.xxhash64(doc_id), F.lit(TURNS)) == turn  # noqa: B023, E731
         texts = _texts(docs.filter(of("doc_id"))).select(_key("doc_id", "part"), "text")
         # Repeated rows have one key and one text.
-        texts = texts.join(needed.filter(of("key.id")), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+        sought = needed.filter(of("key.id"))
+        texts = _sieved(texts, sought).join(sought, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
         parts.append(store(texts.mapInPandas(rows, "key struct<id:bigint,part:int>, hashes binary")))
         _drop_shuffles(docs.sparkSession)
     return reduce(DataFrame.unionByName, parts)
@@ -413,7 +444,8 @@ def _with_words(chains: DataFrame, words: DataFrame, key: Column, at: str, out:
 def _aligned(chains: DataFrame, docs: DataFrame) -> DataFrame:
     """The passages of chains."""
     here, there = _key("doc_id", "part"), _key("origin_id", "origin_part")
-    words = _words(docs, chains.select(here).unionByName(chains.select(there)).distinct())
+    needed = store(chains.select(here).unionByName(chains.select(there)).distinct())
+    words = _words(docs, needed)
     total = chains.count()
     rows = _with_words(chains, words, here, "at", "words", total)
     rows = _with_words(rows, words, there, "origin_at", "origin_words", total)
@@ -435,7 +467,7 @@ def _aligned(chains: DataFrame, docs: DataFrame) -> DataFrame:
             "doc_id bigint, part int, first_word int, end_word int, origin_id bigint, origin_part int, origin_first int, origin_end int, alike double",
         )
     )
-    _done_with(words)
+    _done_with(words, needed)
     return found
 
 
@@ -454,6 +486,56 @@ def _covered(passages: DataFrame) -> DataFrame:
     return spans.distinct().groupBy(_key("doc_id", "part")).agg(F.collect_list("span").alias("spans"))
 
 
+def islands(places: np.ndarray) -> np.ndarray:
+    """Which of the sorted places may lie in a chain of half a passage, wherever the matches stand in the other document.
+
+    A chain that goes from one place to the next one needs a score above GAP * (x + y) / 2, of which x are the words between
+    the two here, and y, those there, counts as SEED: so the score grows most. If even that is not enough, no chain goes on there.
+    """
+    if not len(places):
+        return np.zeros(0, bool)
+    gaps = np.diff(places)
+    gains = np.where(gaps < SEED, (1 + GAP) * gaps - GAP * gaps, (1 + GAP) * SEED - GAP * (gaps + SEED) / 2)
+    cuts, score, at = [0], float(SEED), 0
+    # No chain ends at a lesser gap than this one.
+    for k in np.flatnonzero(GAP * (gaps + SEED) / 2 >= SEED).tolist():
+        score += gains[at:k].sum()
+        if score <= GAP * (gaps[k] + SEED) / 2:
+            cuts.append(k + 1)
+            score = float(SEED)
+        else:
+            score = max(float(SEED), score + gains[k])
+        at = k + 1
+    ends = np.array([*cuts[1:], len(places)])
+    return np.repeat(places[ends - 1] - places[cuts] + SEED >= WORDS // 2, ends - cuts)
+
+
+def beside(places: np.ndarray, seeds: np.ndarray, i: np.ndarray, j: np.ndarray, both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For couples of a seed with itself (i, j): the seed with each other one at most REACH words from one of the two.
+
+    Only places that lie in a couple count. Hashes, indices of both seeds, and if the couple is free.
+    """
+    own = np.flatnonzero(seeds[i] == seeds[j])
+    if not len(own):
+        return i[:0].astype(np.int64), i[:0], j[:0], both[:0]
+    used = np.unique(np.concatenate([i, j]))
+    free = np.zeros(len(places), bool)
+    for ends in (i, j):
+        free[ends[own]] |= both[own]
+    # A couple is free if it is anywhere.
+    values, of = np.unique(seeds, return_inverse=True)
+    some = np.zeros(len(values), bool)
+    np.logical_or.at(some, of, free)
+    at = np.unique(np.concatenate([i[own], j[own]]))
+    low, high = np.searchsorted(places[used], places[at] - REACH), np.searchsorted(places[used], places[at] + REACH, side="right")
+    n = high - low
+    one = np.repeat(at, n)
+    two = used[np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
+    other = seeds[one] != seeds[two]
+    one, two = one[other], two[other]
+    return mix(mix(seeds[one]) + seeds[two]).view(np.int64), one, two, some[of[one]]
+
+
 def couples(places: np.ndarray, seeds: np.ndarray, many: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Couples of seeds at sorted places, NEAR to FAR words apart, of which one has more than two holders.
 
@@ -483,9 +565,11 @@ def _done_with(*stored: DataFrame) -> None:
 
 
 def _couples(held: DataFrame, spans: DataFrame, free_only: bool) -> DataFrame:
-    """The couples of each document, each once: its hash, if it is free somewhere, and its places.
+    """The couples of each document, each once: its hash, if it is free somewhere, its places, and if documents meet by it.
 
-    With `free_only` those that are, with all free places of either seed; else all, with the first place.
+    With `free_only` those that are, with all free places of either seed, where a chain may be; else all, with the first place.
+    By couples of a seed with itself, as any loop of a word has them, documents do not meet: their places, FAR or NEAR apart, cannot
+    begin a chain. They meet by what lies beside these seeds, of which the places are not told.
     """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -505,24 +589,35 @@ def _couples(held: DataFrame, spans: DataFrame, free_only: bool) -> DataFrame:
                 some = free if free_only else slice(None)
                 places, seeds = places[some], seeds[some]
                 found, i, j, both = couples(places, seeds, np.asarray(r.many, bool)[some], free[some])
+                if free_only and len(found):
+                    used = np.unique(np.concatenate([i, j]))
+                    able = np.zeros(len(places), bool)
+                    able[used] = islands(places[used])
+                    found, i, j, both = (c[able[i] | able[j]] for c in (found, i, j, both))
                 if not len(found):
                     continue
-                order = np.argsort(found, kind="stable")
-                first = np.flatnonzero(np.concatenate([[True], np.diff(found[order]) != 0]))
-                lead = order[first]
-                if free_only:
-                    parts = np.split(order, first[1:])
-                    lists += [(places[np.unique(i[part])], places[np.unique(j[part])]) for part in parts]
-                else:
-                    lists += zip(places[i[lead]][:, None], places[j[lead]][:, None], strict=True)
                 signed = seeds.view(np.int64)
-                sizes[-1] = len(lead)
-                out.append((found[lead], np.logical_or.reduceat(both[order], first), signed[i[lead]], signed[j[lead]]))
+                for meets, (found, i, j, both) in ((False, (found, i, j, both)), (True, beside(places, seeds, i, j, both))):  # noqa: B020
+                    if not len(found):
+                        continue
+                    order = np.argsort(found, kind="stable")
+                    first = np.flatnonzero(np.concatenate([[True], np.diff(found[order]) != 0]))
+                    lead = order[first]
+                    if meets:
+                        lists += [(places[:0], places[:0])] * len(lead)
+                    elif free_only:
+                        parts = np.split(order, first[1:])
+                        lists += [(places[np.unique(i[part])], places[np.unique(j[part])]) for part in parts]
+                    else:
+                        lists += zip(places[i[lead]][:, None], places[j[lead]][:, None], strict=True)
+                    sizes[-1] += len(lead)
+                    one, two = signed[i[lead]], signed[j[lead]]
+                    out.append((found[lead], np.logical_or.reduceat(both[order], first), one, two, one != two))
             if out:
-                columns = dict(zip(("couple", "free", "one", "two"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+                columns = dict(zip(("couple", "free", "one", "two", "meets"), map(np.concatenate, zip(*out, strict=True)), strict=True))
                 of = {"doc_id": batch["doc_id"].array.repeat(sizes), "part": np.repeat(batch["part"].to_numpy(np.int32), sizes)}
                 frame = pd.DataFrame(of | columns | {"at": [x for x, _ in lists], "further": [y for _, y in lists]})
-                yield frame[["couple", "doc_id", "part", "free", "one", "two", "at", "further"]]
+                yield frame[["couple", "doc_id", "part", "free", "one", "two", "meets", "at", "further"]]
 
     at = F.explode("places").alias("place")
     seen = held.select("doc_id", "part", "seed", (F.col("times") > 2).alias("many"), at)
@@ -530,7 +625,7 @@ def _couples(held: DataFrame, spans: DataFrame, free_only: bool) -> DataFrame:
     seen = seen.withColumn("key", _key("doc_id", "part")).join(spans, "key", "left")
     columns = [F.col(f"s.{c}").alias(c) for c in ("place", "seed", "many")] + [F.col(f"spans.{c}").alias(c) for c in ("first", "stop")]
     return seen.select("doc_id", "part", *columns).mapInPandas(
-        rows, "couple bigint, doc_id bigint, part int, free boolean, one bigint, two bigint, at array<int>, further array<int>"
+        rows, "couple bigint, doc_id bigint, part int, free boolean, one bigint, two bigint, meets boolean, at array<int>, further array<int>"
     )
 
 
@@ -542,12 +637,24 @@ def _rest(held: DataFrame, spans: DataFrame) -> DataFrame:
     free = store(_couples(held, spans, True))
     seeds_left = store(free.select(F.explode(F.array("one", "two")).alias("seed")).distinct())
     there = store(_couples(held.join(seeds_left, "seed", "left_semi"), spans, False).join(free.select("couple").distinct(), "couple", "left_semi"))
-    there = there.select("couple", F.col("doc_id").alias("origin_id"), F.col("part").alias("origin_part"), F.col("free").alias("free_there"), F.get("at", F.lit(0)).alias("y"), F.get("further", F.lit(0)).alias("z"))
+    there = there.select("couple", "meets", "one", "two", F.col("doc_id").alias("origin_id"), F.col("part").alias("origin_part"), F.col("free").alias("free_there"), F.get("at", F.lit(0)).alias("y"), F.get("further", F.lit(0)).alias("z"))
     here, origin = F.struct("doc_id", "part"), F.struct(F.col("origin_id").alias("doc_id"), F.col("origin_part").alias("part"))
-    met = free.select("couple", "doc_id", "part").join(there, "couple").filter((origin < here) | ((origin > here) & ~F.col("free_there")))
+    ordered = (origin < here) | ((origin > here) & ~F.col("free_there"))
+    met = free.filter("meets").select("couple", "doc_id", "part").join(there.filter("meets"), "couple").filter(ordered)
     # Documents meet without their places, of which a loop of words has very many: these come when it is known that a chain can begin.
     ends = ["doc_id", "part", "origin_id", "origin_part"]
-    pairs = met.groupBy(*ends).agg(F.collect_list(F.struct("couple", "y", "z")).alias("met"))
+    pairs = store(met.groupBy(*ends).agg(F.collect_list(F.struct("couple", "y", "z")).alias("met")))
+    # Of those that have met, also the couples of a seed with itself count.
+    own = free.filter("one = two").groupBy(_key("doc_id", "part")).agg(F.collect_list("couple").alias("own"))
+    alone = there.filter("one = two").groupBy(F.struct(F.col("origin_id").alias("id"), F.col("origin_part").alias("part")).alias("there"))
+    alone = alone.agg(F.collect_list(F.struct("couple", "y", "z", "free_there")).alias("alone"))
+    pairs = pairs.withColumns({"key": F.struct(F.col("doc_id").alias("id"), "part"), "there": F.struct(F.col("origin_id").alias("id"), F.col("origin_part").alias("part"))})
+    pairs = pairs.join(own, "key", "left").join(alone, "there", "left")
+    both = F.filter("alone", lambda c: F.array_contains("own", c["couple"]) & ((origin < here) | ((origin > here) & ~c["free_there"])))
+    both = F.transform(both, lambda c: F.struct(c["couple"].alias("couple"), c["y"].alias("y"), c["z"].alias("z")))
+    # Coalesced, as only some have such couples.
+    told = F.filter("met", lambda c: c["y"].isNotNull())
+    pairs = pairs.select(*ends, F.coalesce(F.concat(told, both), told).alias("met"))
     y = F.array_sort(F.array_distinct(F.concat("met.y", "met.z")))
     pairs = store(pairs.filter(F.exists(F.zip_with(y, F.slice(y, 2, F.size(y)), lambda a, b: b - a), lambda gap: gap <= REACH)))
     met = pairs.select(*ends, F.inline("met"))
@@ -558,6 +665,74 @@ def _rest(held: DataFrame, spans: DataFrame) -> DataFrame:
     return found.groupBy(*ends).agg(F.sort_array(F.collect_set("match")).alias("matches"))
 
 
+def _united(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and stops of the stretches that spans cover together."""
+    starts: list[int] = []
+    stops: list[int] = []
+    for first, stop in sorted(spans):
+        if stops and first <= stops[-1]:
+            stops[-1] = max(stops[-1], stop)
+        else:
+            starts.append(first)
+            stops.append(stop)
+    return starts, stops
+
+
+def covering(spans: list[tuple[int, int, int]]) -> list[int | None]:
+    """For each passage of a document (first, stop, origin): the least origin, less than its own, whose passages together cover it."""
+    of: dict[int, list[tuple[int, int]]] = {}
+    for first, stop, origin in spans:
+        of.setdefault(origin, []).append((first, stop))
+    united = [(origin, *_united(of[origin])) for origin in sorted(of)]
+    out: list[int | None] = []
+    for first, stop, own in spans:
+        by = None
+        for origin, starts, stops in united:
+            if origin >= own:
+                break
+            k = bisect_right(starts, first) - 1
+            if k >= 0 and stops[k] >= stop:
+                by = origin
+                break
+        out.append(by)
+    return out
+
+
+def _linked(passages: DataFrame, others: DataFrame) -> DataFrame:
+    """The passages without those that they and others imply: there, both a passage and its origin are copies of an earlier origin.
+
+    What was covered stays so, and all documents that hold a passage stay linked, but not each with each: the links that replace
+    one have an earlier origin than it.
+    """
+
+    columns = passages.columns
+
+    def rows(doc: pd.DataFrame) -> pd.DataFrame:
+        # A null id comes first.
+        origins = list(zip(doc["origin_id"].notna(), doc["origin_id"].fillna(0), doc["origin_part"], strict=True))
+        order = {o: i for i, o in enumerate(sorted(set(origins)))}
+        back = {order[o]: k for k, o in enumerate(origins)}
+        by = covering(list(zip(doc["first_word"], doc["end_word"], map(order.get, origins), strict=True)))
+        at = [back.get(b, 0) for b in by]
+        found = doc.assign(implied=[b is not None for b in by], by_id=doc["origin_id"].astype("Int64").array.take(at), by_part=doc["origin_part"].to_numpy()[at])
+        found = found.astype({"doc_id": "Int64", "origin_id": "Int64"})
+        return found.loc[found["new"], [*columns, "implied", "by_id", "by_part"]]
+
+    every = passages.withColumn("new", F.lit(True)).unionByName(others.withColumn("new", F.lit(False)))
+    here = every.withColumn("key", _key("doc_id", "part")).join(passages.select(_key("doc_id", "part")).distinct(), "key", "left_semi").drop("key")
+    schema = f"{', '.join(f'{name} {kind}' for name, kind in passages.dtypes)}, implied boolean, by_id bigint, by_part int"
+    found = here.groupBy("doc_id", "part").applyInPandas(rows, schema)
+    span = F.struct(F.col("first_word").alias("first"), F.col("end_word").alias("stop"))
+    # The stretches that the passages of one origin cover together.
+    last = lambda done: F.element_at(done, -1)
+    unite = lambda done, s: F.when((F.size(done) > 0) & (last(done)["stop"] >= s["first"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last(done)["first"].alias("first"), F.greatest(last(done)["stop"], s["stop"]).alias("stop"))))).otherwise(F.concat(done, F.array(s)))
+    copies = every.groupBy(F.col("doc_id").alias("id"), F.col("part").alias("of"), F.col("origin_id").alias("from_id"), F.col("origin_part").alias("from_part")).agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    copies = copies.withColumn("spans", F.aggregate("spans", F.slice("spans", 1, 0), unite))
+    same = F.col("origin_id").eqNullSafe(F.col("id")) & (F.col("origin_part") == F.col("of")) & F.col("by_id").eqNullSafe(F.col("from_id")) & (F.col("by_part") == F.col("from_part"))
+    inside = F.exists("spans", lambda s: (s["first"] <= F.col("origin_first")) & (s["stop"] >= F.col("origin_end")))
+    return found.join(copies, same & F.col("implied") & inside, "left_anti").select(*columns)
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """One row for each repeated passage: doc_id, first_word, end_word, origin_id, origin_first, origin_end, alike."""
     found = store(_seed_rows(docs))
@@ -587,7 +762,7 @@ def passages(docs: DataFrame) -> DataFrame:
     found = firsts.unionByName(lasts)
     # What neither the first nor the last holder has whole.
     rest = store(_chains(_long_enough(_rest(held, store(_covered(found))))))
-    return found.unionByName(_aligned(rest, docs)).drop("part", "origin_part")
+    return found.unionByName(_linked(_aligned(rest, docs), found)).drop("part", "origin_part")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

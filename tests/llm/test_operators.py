@@ -475,6 +475,87 @@ def test_documents_that_no_chain_can_join_meet_without_their_places(make, spark)
     assert sorted((r["doc_id"], r["origin_id"]) for r in groups) == [(21, 20), (22, 20), (22, 21)]
 
 
+def test_a_passage_of_many_documents_has_one_row_for_each(make):
+    """Neither the first nor the last of them has it whole; of those between, the others are copies of one, not each of each."""
+    p = [f"p{i}" for i in range(80)]
+    foreign = lambda d, n: [f"d{d}x{i}" for i in range(n)]
+    cut = lambda d: (d, " ".join([*p[:45], *foreign(d, 60), *p[40:]]), "", "")
+    rows = [cut(1), *((d, " ".join([*foreign(d, 10 * d), *p]), "", "") for d in range(2, 10)), cut(10)]
+    found = [(r["doc_id"], r["first_word"], r["end_word"], r["origin_id"]) for r in substring.passages(make(rows)).collect()]
+    assert sorted(found) == [(d, 10 * d, 10 * d + 80, 2) for d in range(3, 10)]
+
+
+def test_only_links_that_others_imply_are_dropped(spark):
+    schema = "doc_id long, part int, first_word int, end_word int, origin_id long, origin_part int, origin_first int, origin_end int, alike double"
+    row = lambda d, a, b, o, x, y: (d, 0, a, b, o, 0, x, y, 1.0)
+    others = [row(2, 0, 60, None, 5, 65), row(2, 60, 90, None, 65, 95)]
+    passages = [
+        row(3, 0, 90, None, 5, 95),
+        row(3, 10, 80, 2, 10, 80),  # Both are copies of the document without an id.
+        row(3, 10, 90, 2, 10, 95),  # Not all of the origin is one.
+        row(3, 50, 100, 2, 20, 70),  # Not all of the passage is one.
+        row(4, 0, 60, 2, 0, 60),
+        row(5, 0, 60, 2, 0, 60),
+        row(5, 0, 60, 4, 0, 60),  # Both are copies of 2.
+    ]
+    found = substring._linked(spark.createDataFrame(passages, schema), spark.createDataFrame(others, schema)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, passages[:1] + passages[2:6]))
+
+
+def test_loops_do_not_meet_by_themselves(make, spark):
+    """A couple of a seed with itself cannot begin a chain: documents meet by other couples, and by what lies beside such seeds."""
+    foreign = lambda d, n: [f"d{d}x{i}" for i in range(n)]
+    none = spark.createDataFrame([], "key struct<id:bigint,part:int>, spans array<struct<first:int,stop:int>>")
+    loops = [(d, " ".join([*foreign(d, 10 * d), *["the"] * 60, *foreign(-d, 20)]), "", "") for d in range(1, 9)]
+    held = substring._held(substring._seed_rows(make(loops)))
+    free = substring._couples(held, none, True).collect()
+    assert {(r["doc_id"], r["meets"]) for r in free} == {(d, False) for d in range(1, 9)}
+    places, seeds = np.array([0, 20, 40, 100]), np.array([7, 8, 7, 8], np.uint64)
+    i, j = np.array([0, 1]), np.array([2, 3])
+    _, one, two, free = substring.beside(places, seeds, i, j, np.array([True, False]))
+    assert {(seeds[a], seeds[b]) for a, b in zip(one, two, strict=True)} == {(7, 8), (8, 7)}
+    assert {(seeds[a], f) for a, f in zip(one, free, strict=True)} == {(7, True), (8, False)}
+
+
+def test_chains_lie_in_islands():
+    """Whatever the places in the other document, no chain of half a passage has a place that is in none."""
+    rng = np.random.default_rng(11)
+    kept = 0
+    for _ in range(300):
+        n = int(rng.integers(2, 30))
+        x, y = (np.cumsum(rng.choice([1, 4, 6, 12, 25, 30, 60, 120], n)) for _ in "xy")
+        able = dict(zip(x.tolist(), substring.islands(x).tolist(), strict=True))
+        kept += sum(able.values()) / n / 300
+        close = x[0] + np.cumsum(np.minimum(np.diff(x, prepend=x[0]), rng.integers(1, 9)))
+        for other in (x, y, close, np.arange(n) * 4):
+            for path in substring.chain(list(zip(x.tolist(), other.tolist(), strict=True))):
+                if path[-1][0] + substring.SEED - path[0][0] >= substring.WORDS // 2:
+                    assert all(able[a] for a, _ in path)
+    assert 0.1 < kept < 0.9
+    assert substring.islands(np.array([0, 11, 80, 91])).tolist() == [False] * 4
+
+
+def test_the_sieve_keeps_all_that_is_sought(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr("struct(if(id = 0, null, id) as id, cast(id % 7 as int) as part) as key", "id as text")
+    needed = rows.filter("text % 10 = 0").select("key")
+    found = {r["text"] for r in substring._sieved(rows, needed).collect()}
+    assert found >= set(range(0, 4000, 10)) and len(found) < 800
+    assert substring._sieved(rows, needed.limit(0)).count() == 0
+    monkeypatch.setattr(substring, "SIEVE_BITS", 400)
+    found = {r["text"] for r in substring._sieved(rows, needed).collect()}
+    assert found >= set(range(0, 4000, 10)) and len(found) < 450
+
+
+def test_alignment_of_equal_stretches_in_one_step():
+    """Equal words between matches pair place by place, whether the whole stretch agrees or not."""
+    x = np.arange(200, dtype=np.uint64)
+    y = np.concatenate([x[:90], x[95:]])
+    y[40], x_path = 999, [0, 7, 20, 30, 44, 60, 80, 100, 130, 190]
+    px, py = substring.pairs(x, y, [(a, a if a < 90 else a - 5) for a in x_path])
+    expected = [(a, a if a < 90 else a - 5) for a in range(200) if a != 40 and not 90 <= a < 95]
+    assert list(zip(px.tolist(), py.tolist(), strict=True)) == expected
+
+
 def test_no_chain_begins_beyond_its_reach():
     linked = {y for x in range(1, 90) for y in range(1, 90) if len(substring.chain([(0, 0), (x, y)])) == 1}
     assert max(linked) == substring.REACH < substring.NEAR
