@@ -8,7 +8,8 @@ of one is matched with the last document that holds the seed: an early document
 piece of a passage does not hide it. What is still neither is matched with every other document that has two of its
 seeds, NEAR to FAR words apart, however many there are: pieces in the first and the last document hide nothing either.
 Such documents meet without the places of their seeds; these follow only where two matches lie at most REACH words apart in the
-origin, since no chain begins elsewhere. The meetings still grow with the square of a seed's holders.
+origin, since no chain begins elsewhere. Nor do they meet by a seed that stands twice in both, as in loops of a word, or where no chain is long
+enough. The meetings still grow with the square of a seed's holders; of their passages those that others imply are dropped (`_linked`).
 
 The matches of two documents are chained: in both they must go forward, each adds its words, and
 gaps cost GAP a word. A Fenwick tree over positions in the origin document holds the best chain that
@@ -721,6 +722,8 @@ def _linked(passages: DataFrame, others: DataFrame) -> DataFrame:
     every = passages.withColumn("new", F.lit(True)).unionByName(others.withColumn("new", F.lit(False)))
     here = every.withColumn("key", _key("doc_id", "part")).join(passages.select(_key("doc_id", "part")).distinct(), "key", "left_semi").drop("key")
     schema = f"{', '.join(f'{name} {kind}' for name, kind in passages.dtypes)}, implied boolean, by_id bigint, by_part int"
+    # Few bytes, but a call for each document: these must not end up in one task.
+    here = here.repartition(int(here.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "part")
     found = here.groupBy("doc_id", "part").applyInPandas(rows, schema)
     span = F.struct(F.col("first_word").alias("first"), F.col("end_word").alias("stop"))
     # The stretches that the passages of one origin cover together.
