@@ -22,10 +22,11 @@ def main() -> None:
     parser.add_argument("--replace-arrivals", choices=["all", "months"], default="all")
     parser.add_argument("--airport-files", type=int, default=FILES)
     parser.add_argument("--preview-rows", type=int, default=0)
+    parser.add_argument("--turn-bytes", type=int)
     options = vars(parser.parse_args())
-    output, replace, files, rows = (options.pop(name) for name in ("output", "replace_arrivals", "airport_files", "preview_rows"))
+    output, replace, files, rows, turn = (options.pop(name) for name in ("output", "replace_arrivals", "airport_files", "preview_rows", "turn_bytes"))
     spark = SparkSession.builder.appName("arrivals").getOrCreate()
-    load_star(spark, StarInputs(**options), output, replace, files, rows).show(truncate=False)
+    load_star(spark, StarInputs(**options), output, replace, files, rows, turn).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from arrivals.functions import sas_date
 from arrivals.operators import Codes, Dimension, dimensions, lookup
 from arrivals.plans.mappings import BadCodeList
-from arrivals.sinks import publish, write_counted
+from arrivals.sinks import in_turns, publish, write_counted
 
 # Defaults of the lookups, and each output column with the column it renames.
 NO_MODE = "Not reported"
@@ -52,6 +53,9 @@ LAYOUTS = {"_us_state": STATE_LAYOUT, "_arrival_mode": MODE_LAYOUT}
 # Datasets that grow by months are named so; the first columns of the layouts that make a month.
 MONTHS, MONTH_KEYS = "_months", 2
 
+# Bytes of the files of facts that are stored in one turn of a layout: for each core, and at least.
+TURN_BYTES, LEAST_TURN = 32 << 20, 256 << 20
+
 # What a row is marked with, in one number, so that rows can be counted as they are stored.
 MARKS = "__marks"
 _NO_STATE, _NO_VISA, _NO_MODE, _DATED, _UNDATED, _FAULTY = (1 << i for i in range(6))
@@ -123,20 +127,26 @@ def _sum_of(bits: list[tuple[Column, int]]) -> Column:
     return sum((F.when(holds, bit).otherwise(0) for holds, bit in bits), F.lit(0))
 
 
-def store_arrivals(arrivals: DataFrame, path: str, replace: str = "all") -> dict[str, int]:
+def store_arrivals(arrivals: DataFrame | list[DataFrame], path: str, replace: str = "all") -> dict[str, int]:
     """Store the fact table in both layouts; return the number of `rows`, and the `metrics` if it has MARKS.
 
+    A list holds the fact table in parts, of which each is written in a turn of its own: of each layout the shuffle of one part lies on disk at a time.
+
     The second layout scans the source again. That costs one more pruned read and some broadcast
     probes, where keeping the whole fact table would fill the disks of the executors. All else is counted as
     the first layout is written. With replace="months" the months in `arrivals` are replaced whole in the
     dataset at `path` + MONTHS, both layouts at once (`arrivals.sinks.months`), and all others stay.
     """
-    marked = MARKS in arrivals.columns
+    turns = arrivals if isinstance(arrivals, list) else [arrivals]
+    marked = MARKS in turns[0].columns
     counts, hidden = (metrics(), [MARKS]) if marked else ({}, [])
     if replace == "months":
-        return publish(arrivals, path + MONTHS, LAYOUTS, MONTH_KEYS, counts, hidden)
-    counted = write_counted(arrivals, path + "_us_state", STATE_LAYOUT, counts, hidden)
-    again = write_counted(arrivals.drop(*hidden), path + "_arrival_mode", MODE_LAYOUT)
+        return publish(turns, path + MONTHS, LAYOUTS, MONTH_KEYS, counts, hidden)
+    # Side by side: what few files of one turn leave idle, the other layout uses.
+    with ThreadPoolExecutor(2) as side_by_side:
+        first = side_by_side.submit(in_turns, turns, lambda t, *how: write_counted(t, path + "_us_state", STATE_LAYOUT, counts, hidden, *how))
+        second = side_by_side.submit(in_turns, [t.drop(*hidden) for t in turns], lambda t, *how: write_counted(t, path + "_arrival_mode", MODE_LAYOUT, None, None, *how))
+    counted, again = first.result(), second.result()
     if counted["rows"] != again["rows"]:
         raise RuntimeError(f"the layouts hold {counted['rows']} and {again['rows']} rows: the source changed in between")
     return counted

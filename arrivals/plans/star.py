@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from arrivals.operators import COUNTRY, MODE, US_PORT, US_STATE, VISA
 from arrivals.plans.airports import FILES, store_airports
-from arrivals.plans.arrivals import LAYOUTS, MARKS, MONTHS, ArrivalDimensions, conform_arrivals, store_arrivals
+from arrivals.plans.arrivals import LAYOUTS, LEAST_TURN, MARKS, MONTHS, TURN_BYTES, ArrivalDimensions, conform_arrivals, store_arrivals
 from arrivals.plans.demographics import store_demographics
 from arrivals.plans.mappings import load_mapping
 from arrivals.quality import count_rows, preview, report
 from arrivals.schemas import AIRPORTS, AIRPORTS_RAW, ARRIVALS, COUNTRIES, DEMOGRAPHICS, US_PORTS, US_STATES, check_schema
 from arrivals.sinks import read_published, write_plain
 from arrivals.sources import (
+    by_files,
     count_lines,
     faulty_lines,
     read_airports,
@@ -57,6 +58,7 @@ def load_star(
     replace_arrivals: str = "all",
     airport_files: int = FILES,
     preview_rows: int = 0,
+    turn_bytes: int | None = None,
 ) -> DataFrame:
     """Store every dataset below `output`, replacing earlier ones.
 
@@ -65,6 +67,9 @@ def load_star(
     `read_arrivals`. The airports go into up to `airport_files` files. With `preview_rows`, so many first rows
     of each stored dataset are shown.
 
+    The facts are stored in turns, by whole files of up to `turn_bytes` together (by default TURN_BYTES for
+    each core), so that a layout's shuffle of one turn lies on disk at a time. A turn adds its own files to each directory.
+
     CSV records with a bad value or a wrong number of fields are kept, with nulls, and stored as they
     stand below `output`/rejected.
 
@@ -103,8 +108,9 @@ def load_star(
         facts = read_facts_untyped(spark, inputs.facts, faulty=_FAULTY)
     else:
         facts = read_facts(spark, inputs.facts, inputs.facts_format, faulty=_FAULTY)
-    arrivals = conform_arrivals(facts, dims, marks=True, faulty=_FAULTY)
-    check_schema(arrivals.drop(MARKS), ARRIVALS)
+    turn_bytes = turn_bytes or max(LEAST_TURN, spark.sparkContext.defaultParallelism * TURN_BYTES)
+    arrivals = [conform_arrivals(turn, dims, marks=True, faulty=_FAULTY) for turn in by_files(facts, inputs.facts, turn_bytes)]
+    check_schema(arrivals[0].drop(MARKS), ARRIVALS)
     found = store_arrivals(arrivals, root + ARRIVALS_NAME, replace_arrivals)
     rows = found["rows"]
     # Files with row counts tell how many rows they have. Others are not read again for that; lookups keep every row.

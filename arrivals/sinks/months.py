@@ -1,6 +1,6 @@
 """Slices of a dataset, such as its months, published in several layouts at once.
 
-A load writes all its slices as a new version, beside what is there: one job for each layout, whatever the number
+A load writes all its slices as a new version, beside what is there: one job for each layout and turn, whatever the number
 of slices. What is stored is then read back and counted, and only if all layouts agree is the version published:
 one small file, appended to the list of publications, says which version of each of these slices is valid
 from now on. Readers go through that list. So a load that is killed at any time leaves the earlier
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arrivals.schemas import check_schema
-from arrivals.sinks.parquet import write_counted
+from arrivals.sinks.parquet import in_turns, write_counted
 
 PUBLICATIONS = "publication bigint, version string, slice string, rows bigint"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -69,13 +69,13 @@ def check_stored(df: DataFrame, path: str, layouts: dict[str, list[str]]) -> Non
     spark = df.sparkSession
     for version in sorted(set(published(spark, path).values())):
         for layout, keys in layouts.items():
-            # A version was written by one job, so its files are alike.
+            # A version was written by one load, so its files are alike.
             stored = spark.read.parquet(f"{path}{layout}/version={version}").drop(*keys)
             check_schema(df.drop(*keys), stored.schema)
 
 
 def publish(
-    df: DataFrame,
+    df: DataFrame | list[DataFrame],
     path: str,
     layouts: dict[str, list[str]],
     slices: int,
@@ -86,16 +86,22 @@ def publish(
 
     A layout is a list of directory columns, of which the first `slices`, the same in all, name the slice. `df` is
     computed once for each layout. `metrics` are counted as the first layout is written, besides `rows`;
-    columns in `hidden` serve them and are not stored.
+    columns in `hidden` serve them and are not stored. Of a list, whose tables are alike, each table is
+    written in a turn of its own (`in_turns`), and they are published together.
     """
-    spark = df.sparkSession
+    turns = df if isinstance(df, list) else [df]
+    spark = turns[0].sparkSession
     hidden = hidden or []
-    bare = df.drop(*hidden)
+    bare = turns[0].drop(*hidden)
     check_stored(bare, path, layouts)
     version = uuid.uuid4().hex
     counted: dict[str, int] = {}
     for layout, keys in layouts.items():
-        counts = write_counted(df if not counted else bare, f"{path}{layout}/version={version}", keys, {} if counted else metrics, hidden)
+        some = {} if counted else metrics
+        counts = in_turns(
+            [t.drop(*hidden) for t in turns] if counted else turns,
+            lambda t, *how, layout=layout, keys=keys, some=some: write_counted(t, f"{path}{layout}/version={version}", keys, some, hidden, *how),
+        )
         counted = counted or counts
         if counts["rows"] != counted["rows"]:
             raise IncompleteLoad(f"the layouts hold {counted['rows']} and {counts['rows']} rows: the source changed in between")

@@ -6,6 +6,9 @@ is run again after a failure is still counted once, and no second pass is needed
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
@@ -16,9 +19,9 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def _writer(df: DataFrame, replace: str) -> DataFrameWriter:
-    """`replace` is "all" for the whole dataset, "partitions" for the directories written to."""
-    mode = {"all": "static", "partitions": "dynamic"}[replace]
-    return df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    """`replace` is "all" for the whole dataset, "partitions" for the directories written to, "nothing" to add to what is there."""
+    mode = {"all": "static", "partitions": "dynamic", "nothing": "static"}[replace]
+    return df.write.mode("append" if replace == "nothing" else "overwrite").option("partitionOverwriteMode", mode)
 
 
 def write_plain(df: DataFrame, path: str) -> int:
@@ -29,19 +32,46 @@ def write_plain(df: DataFrame, path: str) -> int:
 
 
 def write_counted(
-    df: DataFrame, path: str, keys: list[str], metrics: dict[str, Column] | None = None, hidden: list[str] | None = None, replace: str = "all"
+    df: DataFrame,
+    path: str,
+    keys: list[str],
+    metrics: dict[str, Column] | None = None,
+    hidden: list[str] | None = None,
+    replace: str = "all",
+    more: bool = False,
 ) -> dict[str, int]:
     """As `write_partitioned`, and count more than rows as they are written: each of `metrics`, an aggregate.
 
-    Metrics may use columns in `hidden`, which are not stored.
+    Metrics may use columns in `hidden`, which are not stored. With `more` to come, the dataset is not marked as whole.
     """
     seen = Observation()
     every = {"rows": F.count(F.lit(1)), **(metrics or {})}
     counted = df.hint("rebalance", *keys).observe(seen, *[c.alias(name) for name, c in every.items()])
-    _writer(counted.drop(*(hidden or [])), replace).partitionBy(*keys).parquet(path)
+    writer = _writer(counted.drop(*(hidden or [])), replace)
+    if more:
+        writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    writer.partitionBy(*keys).parquet(path)
     return seen.get
 
 
+def in_turns(turns: list[DataFrame], write: Callable[[DataFrame, str, bool], dict[str, int]]) -> dict[str, int]:
+    """Write tables one after the other into one dataset; return the sums of the counts.
+
+    `write` gets a table, what it replaces, and if more are to come. Before each turn the shuffles of earlier
+    ones are dropped, so that those of one turn lie on disk at a time.
+    """
+    total: Counter[str] = Counter()
+    for at, df in enumerate(turns):
+        drop_shuffles(df)
+        total.update(write(df, "nothing" if at else "all", at + 1 < len(turns)))
+    return dict(total)
+
+
+def drop_shuffles(df: DataFrame) -> None:
+    """Let Spark drop the shuffles that no plan needs any more: it does when the driver collects garbage, which it would seldom do of itself."""
+    df.sparkSession._jvm.System.gc()
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str], replace: str = "all") -> int:
     """Replace the dataset at `path`, with one directory level for each of `keys`.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +45,23 @@ def read_facts_untyped(spark: SparkSession, path: str, schema: StructType = FACT
         bad = (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in numbers)
         columns.append(reduce(Column.__or__, bad, F.lit(False)).alias(faulty))
     return text.select(columns)
+
+
+def by_files(facts: DataFrame, path: str, most_bytes: int) -> list[DataFrame]:
+    """The rows read from `path` in parts, by whole files of up to `most_bytes` together, or one larger file.
+
+    Each part reads its own files only. The parts are ranges of paths, so that every file belongs to one.
+    """
+    file = F.col("_metadata.file_path")
+    # Nothing but names and sizes is read so, whatever the format.
+    sizes = facts.sparkSession.read.format("binaryFile").load(path).select(file.alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    starts, held = [], 0
+    for name, size in sorted(map(tuple, sizes.collect())):
+        if held and held + size > most_bytes:
+            starts.append(name)
+            held = 0
+        held += size
+    if not starts:
+        return [facts]
+    within = lambda low, high: (F.lit(True) if low is None else file >= low) & (F.lit(True) if high is None else file < high)
+    return [facts.filter(within(low, high)) for low, high in pairwise([None, *starts, None])]

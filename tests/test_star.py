@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from arrivals.__main__ import main
 from arrivals.operators import DuplicateKey
 from arrivals.plans import ArrivalDimensions, StarInputs, conform_arrivals, load_star, read_arrivals, store_arrivals
+from arrivals.plans import arrivals as arrivals_plan
 from arrivals.plans.arrivals import MODE_LAYOUT, STATE_LAYOUT
 from arrivals.plans.mappings import BadCodeList
 from arrivals.schemas import AIRPORTS, ARRIVALS, COUNTRIES, DEMOGRAPHICS, FACTS, US_PORTS, US_STATES, SchemaMismatch, check_schema
-from arrivals.sources import read_facts, read_facts_untyped, read_stored
+from arrivals.sinks import months
+from arrivals.sources import by_files, read_facts, read_facts_untyped, read_stored
 
 BASE = {
     "i94yr": 2016.0,
@@ -282,3 +284,63 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert re.search(r"\|immigration_data +\|2 +\|2 +\|", capsys.readouterr().out)
     stored = read_stored(spark, str(tmp_path / "out" / "immigration_data_us_state"), ARRIVALS)
     assert CONFORMED in rows(stored)
+
+
+def test_parts_by_files(spark, tmp_path):
+    path = str(tmp_path / "the facts")
+    facts(spark, *[{"admnum": float(i)} for i in range(9)]).repartition(3).write.parquet(f"{path}/a b=1")
+    facts(spark, {"admnum": 9.0}, {"admnum": None}).coalesce(1).write.parquet(f"{path}/a b=2")
+    every = read_facts(spark, path, faulty="bad")
+    sizes = [p.stat().st_size for p in parquet_files(path)]
+    assert len(sizes) == 4
+    for most, n in ((1, 4), (max(sizes) * 2, 2), (sum(sizes), 1)):
+        parts = by_files(every, path, most)
+        assert len(parts) == n
+        assert rows(parts[0].unionByName(parts[-1]) if n == 2 else every) == rows(every)
+        assert sum(p.count() for p in parts) == 11
+        for part in parts if n > 1 else []:
+            part.collect()
+            scan = part._jdf.queryExecution().executedPlan().collectLeaves().head()
+            assert scan.metrics().apply("numFiles").value() == 4 // n
+
+
+@pytest.mark.parametrize(("how", "kind"), [("all", "csv"), ("months", "parquet")])
+def test_facts_are_stored_in_turns(spark, tmp_path, monkeypatch, how, kind):
+    changes = [{"admnum": float(i), "i94mon": i % 2 + 1.0, "i94addr": ["QQ", "XX", None][i % 3], "i94port": [None, "060"][i % 2]} for i in range(12)]
+    source = replace(inputs(spark, tmp_path / "in"), facts=str(tmp_path / "facts"), facts_format=kind)
+    facts(spark, *changes, *changes[:2]).repartition(4).write.format(kind).option("header", True).save(source.facts)
+    written = []
+    for module in (arrivals_plan, months):
+        write = module.write_counted
+        monkeypatch.setattr(module, "write_counted", lambda df, *rest, write=write: written.append((c := write(df, *rest))["rows"]) or c)
+    once, turns = str(tmp_path / "once"), str(tmp_path / "turns")
+    report = rows(load_star(spark, source, once, how))
+    assert written == [14, 14]
+    # Twice: the second load replaces the first one.
+    for _ in range(2):
+        written.clear()
+        assert rows(load_star(spark, source, turns, how, turn_bytes=1)) == report
+        assert len(written) == 8
+        assert sum(written) == 28
+        assert max(written) < 14
+    read = read_arrivals if how == "months" else lambda s, path, layout: read_stored(s, f"{path}/immigration_data{layout}", ARRIVALS)
+    for layout in ("_us_state", "_arrival_mode"):
+        stored = rows(read(spark, turns, layout))
+        assert len(stored) == 14
+        assert stored == rows(read(spark, once, layout))
+    assert len(list((tmp_path / "turns").rglob("immigration_data*/**/_SUCCESS"))) == (5 if how == "months" else 2)
+
+
+def test_a_load_that_dies_between_turns_leaves_no_whole_dataset(spark, dims, tmp_path, monkeypatch):
+    conformed = conform_arrivals(facts(spark, {}, {"admnum": 2.0}), dims)
+    write = arrivals_plan.write_counted
+
+    def killed(df, path, keys, metrics, hidden, replaced, more):
+        if not more:
+            raise RuntimeError("killed")
+        return write(df, path, keys, metrics, hidden, replaced, more)
+
+    monkeypatch.setattr(arrivals_plan, "write_counted", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        store_arrivals([conformed.filter("admission_number = 2"), conformed.filter("admission_number <> 2")], str(tmp_path / "out"))
+    assert not list(tmp_path.rglob("_SUCCESS"))
