@@ -6,6 +6,7 @@ is run again after a failure is still counted once, and no second pass is needed
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 from collections.abc import Callable
 
@@ -13,6 +14,10 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 
+# Seconds after a write until its shuffle can be dropped.
+SETTLE_S = 2
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
@@ -62,6 +67,9 @@ def in_turns(turns: list[DataFrame], write: Callable[[DataFrame, str, bool], dic
     """
     total: Counter[str] = Counter()
     for at, df in enumerate(turns):
+        if at:
+            # While its end is told to Spark's listeners, a write still holds its shuffle.
+            time.sleep(SETTLE_S)
         drop_shuffles(df)
         total.update(write(df, "nothing" if at else "all", at + 1 < len(turns)))
     return dict(total)
